@@ -1,9 +1,10 @@
 """Dates and times from free text.
 
-A value is looked at once to see how it is spelled. All-digit spellings are
-rearranged to ``yyyy-MM-dd`` and cast with ``try_cast``, which needs no
-formatter and throws nothing; only values that look like ``d-MMM-yyyy`` are
-parsed with a pattern.
+One pattern holds every accepted spelling as an optional section, so a text is
+read once, whatever its spelling, and words never reach the parser. The
+expressions name their input as few times as possible: Spark may push a filter on
+a parsed date below the projection that computes it, and copies the input
+expression for each use.
 """
 
 from __future__ import annotations
@@ -11,35 +12,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The accepted spellings, each with an optional time of day after it.
-_ISO_SHAPE = "____-%-%"
-_NAMED_SHAPE = "%-___-____%"
-_NAMED_PATTERN = "d-MMM-yyyy[ H:mm[:ss]]"
-_US_SLASHES = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})(?= |$)"
-_COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})(?= |$)"
+# The accepted spellings of a date and of the time that may follow.
+_DAYS = ("yyyy-M-d", "M/d/yyyy", "d-MMM-yyyy", "yyyyMMdd")
+_TIMES = (" H:mm[:ss[.SSSSSS]]", "''T''H:mm[:ss[.SSSSSS]]")
+_PATTERN = "".join(f"[{spelling}]" for spelling in _DAYS + _TIMES)
 
 
-def parse_datetime(text: Column) -> Column:
-    """Timestamp of a text in any accepted spelling, at midnight when it has no time.
+def parse_datetime(text: str) -> Column:
+    """Timestamp of a text column in any accepted spelling, at midnight without a time.
 
-    Accepted: ``yyyy-M-d``, ``M/d/yyyy``, ``d-MMM-yyyy`` and ``yyyyMMdd``.
-    Anything else, such as an empty text or the word NULL, is NULL.
+    Anything else, such as an empty text or the word NULL, is NULL: every
+    spelling begins with a digit. Times are read in the session time zone, which
+    should be UTC.
     """
-    raw = F.trim(text)
-    in_digits = (
-        F.when(raw.like(_ISO_SHAPE), raw)
-        .when(raw.contains("/"), F.regexp_replace(raw, _US_SLASHES, "$3-$1-$2"))
-        .when(raw.rlike(_COMPACT), F.regexp_replace(raw, _COMPACT, "$1-$2-$3"))
-        .try_cast("timestamp_ntz")
-    )
-    named = F.try_to_timestamp(raw, F.lit(_NAMED_PATTERN)).cast("timestamp_ntz")
-    return F.when(raw.like(_NAMED_SHAPE), named).otherwise(in_digits)
-
-
-def parse_date(text: Column) -> Column:
+    digits = ", ".join(str(ord(digit)) for digit in "0123456789")
+    parsed = f"cast(try_to_timestamp(trim({text}), '{_PATTERN}') AS timestamp_ntz)"
+    return F.expr(f"if(ascii(trim({text})) IN ({digits}), {parsed}, NULL)")
+
+
+def parse_date(text: str) -> Column:
     """Like :func:`parse_datetime`, without the time of day."""
     return parse_datetime(text).cast("date")
 
 
-def quarter_start(day: Column) -> Column:
-    return F.date_trunc("quarter", day.cast("timestamp_ntz")).cast("date")
+def quarter_start(day: str) -> Column:
+    return F.expr(f"cast(date_trunc('quarter', cast({day} AS timestamp_ntz)) AS date)")

@@ -5,21 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the largest amount of the source's money type.
-_MONEY_MAX = "922337203685477.5807"
 
+def parse_money(text: str) -> Column:
+    """Amount of a text column as decimal(18,2).
 
-def parse_money(text: Column) -> Column:
-    """Amount of a text as decimal(18,2).
-
-    An empty text is 0.00, the word NULL and anything unreadable is NULL.
-    A dollar sign and thousands commas are accepted.
+    An empty text is 0.00, the word NULL and anything unreadable is NULL. A
+    dollar sign and thousands commas are accepted, an exponent is not. Words
+    never reach the cast, as each failed one costs a caught error.
     """
-    raw = F.trim(text)
-    plain = F.translate(raw, "$,", "")
-    amount = F.when(~F.upper(plain).contains("E"), plain.try_cast("decimal(19,4)"))
-    fits = F.abs(amount) <= F.lit(_MONEY_MAX).cast("decimal(19,4)")
-    return F.when(raw == "", F.lit(0)).when(fits, amount).cast("decimal(18,2)")
+    first = ", ".join(str(ord(mark)) for mark in "0123456789+-.$,")
+    plain = f"translate(trim({text}), 'Ee$,', 'xx')"
+    amount = f"CASE WHEN ascii(trim({text})) IN ({first}) THEN try_cast({plain} AS decimal(19,4))"
+    return F.expr(f"cast({amount} WHEN trim({text}) = '' THEN 0 END AS decimal(18,2))")
 
 
 def whole_div(dividend: Column, divisor: Column) -> Column:

@@ -1,4 +1,7 @@
-"""Text cleaning rules and business keys."""
+"""Text cleaning rules and business keys.
+
+The helpers take the SQL text of their input, usually a column name.
+"""
 
 from __future__ import annotations
 
@@ -8,67 +11,56 @@ from pyspark.sql import functions as F
 from leakscope.config import KeyFormat, KeywordRule
 
 
-def clean_text(text: Column) -> Column:
+def trimmed(text: str) -> Column:
+    return F.expr(f"trim({text})")
+
+
+def clean_text(text: str) -> Column:
     """Trim blanks; an empty text is NULL."""
-    return F.nullif(F.trim(text), F.lit(""))
+    return F.expr(f"nullif(trim({text}), '')")
+
 
+def clean_upper(text: str) -> Column:
+    return F.expr(f"nullif(upper(trim({text})), '')")
 
-def canon_key(key: Column) -> Column:
+
+def canon_key(key: str) -> Column:
     """Form in which keys are matched: case and trailing blanks do not count,
     leading blanks do."""
-    return F.upper(F.rtrim(key))
+    return F.expr(f"upper(rtrim({key}))")
 
 
-def own_key(key: Column) -> Column:
-    """Key of a child row; with leading blanks it is NULL, as it matches no parent."""
-    return F.when(F.rtrim(key) == F.trim(key), key)
+def norm_lob(lob: str) -> Column:
+    """Line of business in capitals, GL when missing; W C is WC."""
+    return F.expr(f"if(upper(trim({lob})) = 'W C', 'WC', coalesce(nullif(upper(trim({lob})), ''), 'GL'))")
 
 
-def norm_lob(lob: Column) -> Column:
-    """Line of business: WC and GL in any spelling, GL when missing."""
-    raw = F.upper(F.trim(lob))
-    return (
-        F.when(raw.isin("WC", "W C"), F.lit("WC"))
-        .otherwise(F.coalesce(F.nullif(raw, F.lit("")), F.lit("GL")))
-    )
+def _two_letters(state: str, of_longer: dict[str, str]) -> Column:
+    """A value of two letters as it is, a longer one by the first pattern it matches."""
+    longer = " ".join(f"WHEN raw LIKE '{pattern}' THEN '{code}'" for pattern, code in of_longer.items())
+    rule = f"CASE WHEN length(raw) = 2 THEN raw {longer} END"
+    return F.expr(rule.replace("raw", f"upper(trim({state}))"))
 
 
-def norm_policy_state(state: Column) -> Column:
+def norm_policy_state(state: str) -> Column:
     """Two-letter state; longer values count when they begin with IL or WI."""
-    raw = F.upper(F.trim(state))
-    return (
-        F.when(F.length(raw) == 2, raw)
-        .when(raw.startswith("IL"), F.lit("IL"))
-        .when(raw.startswith("WI"), F.lit("WI"))
-    )
+    return _two_letters(state, {"IL%": "IL", "WI%": "WI"})
 
 
-def norm_loss_state(state: Column) -> Column:
+def norm_loss_state(state: str) -> Column:
     """Two-letter state; longer values count when they end with WI or IL."""
-    raw = F.upper(F.trim(state))
-    return (
-        F.when(F.length(raw) == 2, raw)
-        .when(raw.endswith("WI"), F.lit("WI"))
-        .when(raw.endswith("IL"), F.lit("IL"))
-    )
+    return _two_letters(state, {"%WI": "WI", "%IL": "IL"})
 
 
-def norm_status(status: Column) -> Column:
+def norm_status(status: str) -> Column:
     """Open or Closed in any case; everything else, also NULL, is Litigation."""
-    raw = F.upper(F.trim(status))
-    return (
-        F.when(raw == "OPEN", F.lit("Open"))
-        .when(raw == "CLOSED", F.lit("Closed"))
-        .otherwise(F.lit("Litigation"))
-    )
+    spelled = f"initcap(trim({status}))"
+    return F.expr(f"if({spelled} IN ('Open', 'Closed'), {spelled}, 'Litigation')")
 
 
-def norm_cost_type(cost_type: Column) -> Column:
+def norm_cost_type(cost_type: str) -> Column:
     """Mends the known misspelling of Indemnity; other values keep their case."""
-    return (
-        F.when(F.upper(F.trim(cost_type)) == "INDEMNTY", F.lit("Indemnity"))
-        .otherwise(clean_text(cost_type))
-    )
+    return F.expr(f"if(upper(trim({cost_type})) = 'INDEMNTY', 'Indemnity', nullif(trim({cost_type}), ''))")
 
 
 def pad_number(number: Column, width: int) -> Column:
@@ -77,7 +69,15 @@ def pad_number(number: Column, width: int) -> Column:
     return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
 
 
-def key_number(key: Column, fmt: KeyFormat) -> Column:
+def _numbered(canonical: str, fmt: KeyFormat) -> Column:
+    # The width in digits, or more digits without a leading zero: one spelling per number.
+    spelling = f"^{fmt.prefix}([0-9]{{{fmt.width}}}|[1-9][0-9]{{{fmt.width},17}})$"
+    number = f"try_cast(regexp_extract({canonical}, '{spelling}', 1) AS bigint)"
+    hashed = f"-(xxhash64({canonical}) & {2**63 - 1}) - 1"
+    return F.expr(f"coalesce({number}, if({canonical} IS NULL, NULL, {hashed}))")
+
+
+def key_number(key: str, fmt: KeyFormat) -> Column:
     """Surrogate of a business key, the same on every run and without a shuffle.
 
     A key in its standard form (prefix and zero-padded number) gives its number.
@@ -85,17 +85,15 @@ def key_number(key: Column, fmt: KeyFormat) -> Column:
     uniqueness check of the load reports the improbable case of two such keys
     with one hash. NULL stays NULL.
     """
-    canonical = F.upper(F.trim(key))
-    # The width in digits, or more digits without a leading zero: one spelling per number.
-    spelling = f"^{fmt.prefix}([0-9]{{{fmt.width}}}|[1-9][0-9]{{{fmt.width},17}})$"
-    number = F.substring(canonical, len(fmt.prefix) + 1, 18).try_cast("bigint")
-    hashed = -F.xxhash64(canonical).bitwiseAND(F.lit(2**63 - 1)) - F.lit(1)
-    return F.when(canonical.rlike(spelling), number).when(canonical.isNotNull(), hashed)
+    return _numbered(f"upper(trim({key}))", fmt)
+
+
+def parent_number(key: str, fmt: KeyFormat) -> Column:
+    """Number of the parent a child row refers to; with leading blanks in the
+    reference it matches no parent."""
+    return F.when(~F.expr(f"startswith({key}, ' ')"), _numbered(f"upper(rtrim({key}))", fmt))
 
 
-def has_phrases(text: Column, rule: KeywordRule) -> Column:
+def has_phrases(text: str, rule: KeywordRule) -> Column:
     """True when one text holds every phrase of the rule, in any case."""
-    found = F.lit(True)
-    for phrase in rule.phrases:
-        found = found & text.ilike(f"%{phrase}%")
-    return found
+    return F.expr(" AND ".join(f"contains(lower({text}), '{phrase.lower()}')" for phrase in rule.phrases))

@@ -15,22 +15,21 @@ def append_copies(df: DataFrame, wanted: Column) -> DataFrame:
     return df.withColumn("_copy", F.explode(F.when(wanted, twice).otherwise(once))).drop("_copy")
 
 
-def expand_copies(df: DataFrame, copies: str) -> DataFrame:
-    """Each row ``copies`` times, without the ``copies`` column.
+def expand_copies(df: DataFrame, copies: str, number: str = "_copy") -> DataFrame:
+    """Each row ``copies`` times, with a running ``number`` in place of ``copies``.
 
     Rows with up to ``CHUNK`` copies are expanded where they are. A row with
     more is first cut into chunks that are shuffled apart, so that no task and
     no array ever holds all copies of a hot row. When there is no such row the
-    second branch is empty and adaptive execution drops it.
+    second branch is empty and adaptive execution drops it. The number makes
+    copies distinct, so that a sort on it last can split them as well.
     """
-    few = df.where(F.col(copies) <= CHUNK)
-    few = few.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies))))
-
-    many = df.where(F.col(copies) > CHUNK)
-    last_chunk = F.call_function("div", F.col(copies) - 1, F.lit(CHUNK).cast("bigint"))
-    many = many.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
-    many = many.repartition("_chunk", *df.columns)
-    in_chunk = F.least(F.lit(CHUNK).cast("bigint"), F.col(copies) - F.col("_chunk") * CHUNK)
-    many = many.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_chunk)))
-
-    return few.drop("_copy", copies).unionByName(many.drop("_copy", "_chunk", copies))
+    kept = [column for column in df.columns if column != copies]
+    few = df.where(F.col(copies) <= CHUNK).select(*kept, F.expr(f"explode(sequence(1L, {copies}))").alias(number))
+    many = (
+        df.where(F.col(copies) > CHUNK)
+        .withColumn("_start", F.expr(f"explode(sequence(0L, {copies} - 1, {CHUNK}L))"))
+        .repartition("_start", *kept)
+        .select(*kept, F.expr(f"explode(sequence(_start + 1, least(_start + {CHUNK}, {copies})))").alias(number))
+    )
+    return few.unionByName(many)

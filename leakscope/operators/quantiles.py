@@ -23,9 +23,10 @@ def join_null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Dat
     return left.join(renamed, same).drop(*[f"_right_{c}" for c in columns])
 
 
-def value_counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Distinct (group, value) with its number of rows; combined before the shuffle."""
-    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("copies"))
+def value_counts(df: DataFrame, by: list[str], value: str, counted: Column | None = None) -> DataFrame:
+    """Distinct (group, value) with its number of ``counted`` rows; combined before the shuffle."""
+    present = F.col(value).isNotNull() if counted is None else counted & F.col(value).isNotNull()
+    return df.groupBy(*by, value).agg(F.count_if(present).alias("copies")).where("copies > 0")
 
 
 def quantiles_of_counts(

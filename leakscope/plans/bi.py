@@ -11,6 +11,7 @@ from leakscope import config
 from leakscope.functions.money import truncated_avg
 from leakscope.operators.quantiles import quantiles_of_counts, value_counts
 from leakscope.plans import clues
+from leakscope.sources.storage import cut
 
 _RATIO = "decimal(18,4)"
 
@@ -55,11 +56,18 @@ def bi_leakage_distribution(claims: DataFrame, payments: DataFrame, as_of: datet
 
 def bi_adjuster_performance(adjusters: DataFrame, claims: DataFrame) -> DataFrame:
     """Workload and severity per adjuster; high severity is above the upper
-    interquartile fence of all adjusters that have claims."""
-    measured = clues.claims_per_adjuster(claims).select(
-        "adjuster_id",
-        F.col("_claims").alias("claim_count"),
-        truncated_avg(F.col("_total"), F.col("_valued")).alias("avg_severity"),
+    interquartile fence of all adjusters that have claims.
+
+    The figures per adjuster are written once, as the fence, the total and the
+    result all need them.
+    """
+    measured = cut(
+        clues.claims_per_adjuster(claims).select(
+            "adjuster_id",
+            F.col("_claims").alias("claim_count"),
+            truncated_avg(F.col("_total"), F.col("_valued")).alias("avg_severity"),
+        ),
+        "adjuster-figures",
     )
     averages = value_counts(measured.withColumn("_all", F.lit(0)), ["_all"], "avg_severity")
     quartiles = quantiles_of_counts(averages, ["_all"], "avg_severity", 6, {"q1": 0.25, "q3": 0.75})
@@ -106,7 +114,7 @@ def bi_leakage_flags(notes: DataFrame, claims: DataFrame) -> DataFrame:
         .unpivot(["incurred"], flags, "flag", "raised")
         .where("raised = 1")
         .groupBy("flag")
-        .agg(F.count(F.lit(1)).alias("claims"), F.sum("incurred").alias("incurred"))
+        .agg(F.count(F.lit(1)).alias("claims"), F.sum("incurred").cast("decimal(38,2)").alias("incurred"))
         .orderBy("flag")
     )
 

@@ -1,8 +1,8 @@
 """The seven analyses.
 
-``payments`` and ``notes`` may be the core tables or, where the analysis joins
-them with the claims, the conformed rows that were not yet checked against the
-claims: the join drops the same rows.
+``payments`` and ``notes`` may be the core tables or the conformed rows they are
+made of. Unreadable payments are left out while counting and, where the analysis
+joins with the claims, so are the rows of unknown claims.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from leakscope.functions.text import has_phrases
 from leakscope.operators.copies import expand_copies
 from leakscope.operators.hierarchy import walk_down
 from leakscope.operators.quantiles import join_null_safe, quantiles_of_counts, value_counts
+from leakscope.plans.core import is_readable
+from leakscope.sources.storage import cut
 
 DUPLICATE_KEY = ["claim_id", "payment_date", "cost_type", "amount", "check_number"]
 
@@ -55,7 +57,7 @@ def quarterly_severity(claims: DataFrame, policies: DataFrame) -> DataFrame:
     """
     quarters = (
         with_lob(claims, policies)
-        .groupBy("lob", "loss_state", quarter_start(F.col("loss_date")).alias("qstart"))
+        .groupBy("lob", "loss_state", quarter_start("loss_date").alias("qstart"))
         .agg(F.sum(severity()).alias("_total"), F.count(severity()).alias("_claims"))
         .withColumn("_avg", micro_avg(F.col("_total"), F.col("_claims")))
     )
@@ -131,7 +133,7 @@ def duplicate_groups(payments: DataFrame) -> DataFrame:
     NULLs count as equal. Counted before the shuffle as well, and only groups of
     two or more go on.
     """
-    return payments.groupBy(*DUPLICATE_KEY).agg(F.count(F.lit(1)).alias("dup_count")).where("dup_count > 1")
+    return payments.groupBy(*DUPLICATE_KEY).agg(F.count_if(is_readable()).alias("dup_count")).where("dup_count > 1")
 
 
 def clue3_duplicate_payments(claims: DataFrame, payments: DataFrame) -> DataFrame:
@@ -146,10 +148,11 @@ def clue3_duplicate_payments(claims: DataFrame, payments: DataFrame) -> DataFram
 def clue4_vendor_outliers(payments: DataFrame, k: float = config.IQR_FACTOR, side: str = "both") -> DataFrame:
     """Payments outside the interquartile fences of their vendor, repeats included.
 
-    Works on distinct (vendor, amount) with their number of payments; the
-    payments themselves are read and shuffled once.
+    Works on distinct (vendor, amount) with their number of payments. They are
+    written once and read three times, so the payments are cleaned and shuffled
+    only once.
     """
-    counts = value_counts(payments, ["vendor_id"], "amount")
+    counts = cut(value_counts(payments, ["vendor_id"], "amount", is_readable()), "vendor-amounts")
     quartiles = quantiles_of_counts(counts, ["vendor_id"], "amount", 2, {"q1": 0.25, "q3": 0.75})
     amount, spread = F.col("amount").cast("double"), F.col("q3") - F.col("q1")
     outside = {
@@ -159,9 +162,9 @@ def clue4_vendor_outliers(payments: DataFrame, k: float = config.IQR_FACTOR, sid
     wanted = outside["high"] | outside["low"] if side == "both" else outside[side]
     outliers = join_null_safe(counts, quartiles, ["vendor_id"]).where(wanted)
     return (
-        expand_copies(outliers, "copies")
+        expand_copies(outliers, "copies", "_copy")
+        .orderBy(F.col("amount").desc(), "vendor_id", "_copy")
         .select("vendor_id", "amount", "q1", "q3")
-        .orderBy(F.col("amount").desc(), "vendor_id")
     )
 
 
@@ -244,7 +247,7 @@ def clue6_notes_flags(
     Notes without any flag cannot matter and stop at the scan.
     """
     flags = [rule.flag for rule in rules]
-    marked = notes.select("claim_id", *[has_phrases(F.col("note_text"), rule).alias(rule.flag) for rule in rules])
+    marked = notes.select("claim_id", *[has_phrases("note_text", rule).alias(rule.flag) for rule in rules])
     any_flag = F.greatest(*[F.col(flag) for flag in flags]) if len(flags) > 1 else F.col(flags[0])
     per_claim = (
         marked.where(any_flag)

@@ -6,15 +6,15 @@ reuses equal exchanges.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leakscope.config import ADJUSTER_KEY, CLAIM_KEY, POLICY_KEY, KeyFormat
 from leakscope.functions.dates import parse_date, parse_datetime
 from leakscope.functions.money import parse_money
 from leakscope.functions.text import (
-    canon_key, clean_text, key_number, norm_cost_type, norm_lob, norm_loss_state, norm_policy_state, norm_status,
-    own_key,
+    canon_key, clean_text, clean_upper, key_number, norm_cost_type, norm_lob, norm_loss_state, norm_policy_state,
+    norm_status, parent_number, trimmed,
 )
 from leakscope.operators.dedup import keep_one
 from leakscope.operators.keys import number_rows
@@ -27,32 +27,35 @@ def _columns(table: str) -> list[str]:
 
 def core_policies(staged: DataFrame, key: KeyFormat = POLICY_KEY) -> DataFrame:
     return staged.where(F.col("policy_number").isNotNull()).select(
-        key_number(F.col("policy_number"), key).alias("policy_id"),
-        F.trim("policy_number").alias("policy_number"),
-        clean_text(F.col("insured_name")).alias("insured_name"),
-        norm_lob(F.col("lob")).alias("lob"),
-        parse_date(F.col("effective_date")).alias("effective_date"),
-        parse_date(F.col("expiration_date")).alias("expiration_date"),
-        norm_policy_state(F.col("state")).alias("state"),
-        clean_text(F.col("broker_code")).alias("broker_code"),
+        key_number("policy_number", key).alias("policy_id"),
+        trimmed("policy_number").alias("policy_number"),
+        clean_text("insured_name").alias("insured_name"),
+        norm_lob("lob").alias("lob"),
+        parse_date("effective_date").alias("effective_date"),
+        parse_date("expiration_date").alias("expiration_date"),
+        norm_policy_state("state").alias("state"),
+        clean_text("broker_code").alias("broker_code"),
     )
 
 
-def core_adjuster(staged: DataFrame, key: KeyFormat = ADJUSTER_KEY) -> DataFrame:
-    """Adjusters with their supervisor resolved; an unknown supervisor is NULL."""
-    adjusters = staged.where(F.col("adjuster_ext_id").isNotNull()).select(
-        key_number(F.col("adjuster_ext_id"), key).alias("adjuster_id"),
-        F.trim("adjuster_ext_id").alias("adjuster_ext_id"),
-        clean_text(F.col("full_name")).alias("full_name"),
-        parse_date(F.col("hire_date")).alias("hire_date"),
-        clean_text(F.col("office")).alias("office"),
+def loaded_adjusters(staged: DataFrame, key: KeyFormat = ADJUSTER_KEY) -> DataFrame:
+    """Adjusters before their supervisor is resolved, enough to resolve claims with."""
+    return staged.where(F.col("adjuster_ext_id").isNotNull()).select(
+        key_number("adjuster_ext_id", key).alias("adjuster_id"),
+        trimmed("adjuster_ext_id").alias("adjuster_ext_id"),
+        clean_text("full_name").alias("full_name"),
+        parse_date("hire_date").alias("hire_date"),
+        clean_text("office").alias("office"),
         # Only a staged id without leading blanks finds its own loaded row again.
-        F.when(F.rtrim("adjuster_ext_id") == F.trim("adjuster_ext_id"), canon_key(F.col("supervisor_ext_id")))
-        .alias("_supervisor_key"),
+        F.expr("if(startswith(adjuster_ext_id, ' '), NULL, upper(rtrim(supervisor_ext_id)))").alias("_supervisor_key"),
     )
-    supervisors = staged.where(F.col("adjuster_ext_id").isNotNull()).select(
-        key_number(F.col("adjuster_ext_id"), key).alias("supervisor_id"),
-        canon_key(F.trim("adjuster_ext_id")).alias("_supervisor_key"),
+
+
+def core_adjuster(staged: DataFrame, key: KeyFormat = ADJUSTER_KEY) -> DataFrame:
+    """Adjusters with their supervisor resolved; an unknown supervisor is NULL."""
+    adjusters = loaded_adjusters(staged, key)
+    supervisors = adjusters.select(
+        F.col("adjuster_id").alias("supervisor_id"), canon_key("adjuster_ext_id").alias("_supervisor_key")
     )
     return adjusters.join(supervisors, "_supervisor_key", "left").select(*_columns("core_adjuster"))
 
@@ -60,21 +63,21 @@ def core_adjuster(staged: DataFrame, key: KeyFormat = ADJUSTER_KEY) -> DataFrame
 def unique_claims(staged: DataFrame, key: KeyFormat = CLAIM_KEY) -> DataFrame:
     """Cleaned staged claims, one per claim number, with the keys to resolve."""
     claims = staged.select(
-        F.coalesce(key_number(F.col("claim_number"), key), F.lit(-1)).alias("claim_id"),
-        F.trim("claim_number").alias("claim_number"),
-        parse_date(F.col("loss_date")).alias("loss_date"),
-        parse_date(F.col("report_date")).alias("report_date"),
-        clean_text(F.col("injury_cause")).alias("injury_cause"),
-        clean_text(F.col("body_part")).alias("body_part"),
-        clean_text(F.col("claimant_id")).alias("claimant_id"),
-        norm_loss_state(F.col("loss_state")).alias("loss_state"),
-        parse_money(F.col("incurred_total")).alias("incurred_total"),
-        parse_money(F.col("paid_total")).alias("paid_total"),
-        parse_money(F.col("reserve_total")).alias("reserve_total"),
-        norm_status(F.col("status")).alias("status"),
-        canon_key(F.trim("policy_number")).alias("_policy_key"),
-        canon_key(F.trim("adjuster_ext_id")).alias("_adjuster_key"),
-        F.upper(F.trim("claim_number")).alias("_claim_key"),
+        F.coalesce(key_number("claim_number", key), F.lit(-1)).alias("claim_id"),
+        trimmed("claim_number").alias("claim_number"),
+        parse_date("loss_date").alias("loss_date"),
+        parse_date("report_date").alias("report_date"),
+        clean_text("injury_cause").alias("injury_cause"),
+        clean_text("body_part").alias("body_part"),
+        clean_text("claimant_id").alias("claimant_id"),
+        norm_loss_state("loss_state").alias("loss_state"),
+        parse_money("incurred_total").alias("incurred_total"),
+        parse_money("paid_total").alias("paid_total"),
+        parse_money("reserve_total").alias("reserve_total"),
+        norm_status("status").alias("status"),
+        canon_key("trim(policy_number)").alias("_policy_key"),
+        canon_key("trim(adjuster_ext_id)").alias("_adjuster_key"),
+        canon_key("trim(claim_number)").alias("_claim_key"),
         # The reference keeps any of the copies; the digest makes it the same one every time.
         F.xxhash64(*schemas.STAGED["staged_claims"].fieldNames()).alias("_order"),
     )
@@ -87,10 +90,11 @@ def core_claims(
     """Typed claims with policy and adjuster resolved; unmatched claims are dropped.
 
     ``carry`` names policy columns to take along, which saves an analysis that
-    needs them a second join with the policies.
+    needs them a second join with the policies. ``adjusters`` are the core table
+    or, as supervisors do not matter here, the result of :func:`loaded_adjusters`.
     """
-    policy_keys = policies.select("policy_id", canon_key(F.col("policy_number")).alias("_policy_key"), *carry)
-    adjuster_keys = adjusters.select("adjuster_id", canon_key(F.col("adjuster_ext_id")).alias("_adjuster_key"))
+    policy_keys = policies.select("policy_id", canon_key("policy_number").alias("_policy_key"), *carry)
+    adjuster_keys = adjusters.select("adjuster_id", canon_key("adjuster_ext_id").alias("_adjuster_key"))
     return (
         unique_claims(staged)
         .join(policy_keys, "_policy_key")
@@ -100,26 +104,29 @@ def core_claims(
 
 
 def conform_payments(staged: DataFrame, key: KeyFormat = CLAIM_KEY) -> DataFrame:
-    """Cleaned payments with a readable amount and date, claims not yet checked.
+    """Cleaned payments, neither checked for a readable amount and date nor for their claim.
 
-    An analysis that joins the payments with the claims anyway can take these
-    and skip the check, which would be a second shuffle of all payments.
+    Analyses take these where they drop the unreadable rows while counting and
+    join with the claims anyway. That saves a second shuffle of all payments, and a
+    filter on parsed values, which Spark would evaluate by parsing them twice.
     """
-    return (
-        staged.select(
-            key_number(own_key(F.col("claim_number")), key).alias("claim_id"),
-            parse_date(F.col("payment_date")).alias("payment_date"),
-            F.upper(clean_text(F.col("payee_type"))).alias("payee_type"),
-            clean_text(F.col("vendor_id")).alias("vendor_id"),
-            norm_cost_type(F.col("cost_type")).alias("cost_type"),
-            F.upper(clean_text(F.col("cost_category"))).alias("cost_category"),
-            parse_money(F.col("amount")).alias("amount"),
-            clean_text(F.col("check_number")).alias("check_number"),
-        )
-        .where(F.col("amount").isNotNull() & F.col("payment_date").isNotNull())
+    return staged.select(
+        parent_number("claim_number", key).alias("claim_id"),
+        parse_date("payment_date").alias("payment_date"),
+        clean_upper("payee_type").alias("payee_type"),
+        clean_text("vendor_id").alias("vendor_id"),
+        norm_cost_type("cost_type").alias("cost_type"),
+        clean_upper("cost_category").alias("cost_category"),
+        parse_money("amount").alias("amount"),
+        clean_text("check_number").alias("check_number"),
     )
 
 
+def is_readable() -> Column:
+    """Core payments have an amount and a date."""
+    return F.col("amount").isNotNull() & F.col("payment_date").isNotNull()
+
+
 def known_claims_only(children: DataFrame, claims: DataFrame) -> DataFrame:
     """Rows whose claim exists. The claims are unique, so this is the inner join."""
     return children.join(claims.select("claim_id"), "claim_id", "left_semi")
@@ -127,7 +134,7 @@ def known_claims_only(children: DataFrame, claims: DataFrame) -> DataFrame:
 
 def resolved_payments(staged: DataFrame, claims: DataFrame) -> DataFrame:
     """Core payments without their row number, which no analysis reads."""
-    return known_claims_only(conform_payments(staged), claims)
+    return known_claims_only(conform_payments(staged).where(is_readable()), claims)
 
 
 def core_payments(staged: DataFrame, claims: DataFrame) -> DataFrame:
@@ -138,9 +145,9 @@ def core_payments(staged: DataFrame, claims: DataFrame) -> DataFrame:
 def conform_notes(staged: DataFrame, key: KeyFormat = CLAIM_KEY) -> DataFrame:
     """Cleaned notes that have a text, claims not yet checked."""
     return staged.where(F.col("note_text").isNotNull()).select(
-        key_number(own_key(F.col("claim_number")), key).alias("claim_id"),
-        parse_datetime(F.col("note_time")).alias("note_time"),
-        clean_text(F.col("author")).alias("author"),
+        parent_number("claim_number", key).alias("claim_id"),
+        parse_datetime("note_time").alias("note_time"),
+        clean_text("author").alias("author"),
         "note_text",
     )
 
@@ -162,7 +169,7 @@ def build_core(staged: dict[str, DataFrame], numbered: bool = True) -> dict[str,
     """
     policies = core_policies(staged["staged_policies"])
     adjusters = core_adjuster(staged["staged_adjuster"])
-    claims = core_claims(staged["staged_claims"], policies, adjusters)
+    claims = core_claims(staged["staged_claims"], policies, loaded_adjusters(staged["staged_adjuster"]))
     payments = core_payments if numbered else resolved_payments
     notes = core_notes if numbered else resolved_notes
     return {

@@ -40,7 +40,7 @@ def mart_claim_risk_signals(
         )
         .withColumn("risk_score", (F.col("dup_hits") + F.col("reserve_flag")).cast("decimal(14,1)"))
     )
-    return scored.drop("_rows") if collapse else expand_copies(scored, "_rows")
+    return scored.drop("_rows") if collapse else expand_copies(scored, "_rows").drop("_copy")
 
 
 def create_risk_view(claims: DataFrame, policies: DataFrame, payments: DataFrame, as_of: datetime) -> DataFrame:

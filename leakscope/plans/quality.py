@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leakscope.config import CLAIM_KEY
-from leakscope.functions.text import canon_key, key_number, own_key
-from leakscope.plans.core import conform_payments, unique_claims
+from leakscope.functions.text import canon_key, parent_number
+from leakscope.plans.core import conform_payments, is_readable, unique_claims
 from leakscope.sources import schemas
 
 
@@ -75,38 +75,29 @@ def qc_rejected_rows(staged: dict[str, DataFrame], core: dict[str, DataFrame]) -
         .agg((F.sum("rows") - F.sum("kept")).alias("cnt"))
         .select(F.lit("claims_repeated").alias("issue"), "cnt")
     )
-    policy_keys = core["core_policies"].select(canon_key(F.col("policy_number")).alias("_policy_key"))
-    adjuster_keys = core["core_adjuster"].select(canon_key(F.col("adjuster_ext_id")).alias("_adjuster_key"))
+    policy_keys = core["core_policies"].select(canon_key("policy_number").alias("_policy_key"))
+    adjuster_keys = core["core_adjuster"].select(canon_key("adjuster_ext_id").alias("_adjuster_key"))
     known = core["core_claims"].select("claim_id")
     payments = staged["staged_payments"].select(
-        key_number(own_key(F.col("claim_number")), CLAIM_KEY).alias("claim_id")
+        parent_number("claim_number", CLAIM_KEY).alias("claim_id")
     )
     notes = staged["staged_notes"].select(
-        key_number(own_key(F.col("claim_number")), CLAIM_KEY).alias("claim_id"), "note_text"
-    )
-    readable = conform_payments(staged["staged_payments"])
-    unreadable = (
-        _two_counts(staged["staged_payments"], readable).select(F.lit("payments_unreadable").alias("issue"), "cnt")
+        parent_number("claim_number", CLAIM_KEY).alias("claim_id"), "note_text"
     )
+    unreadable = conform_payments(staged["staged_payments"]).where(~is_readable())
     return _union(
         [
             repeated,
             _count_as(claims.join(policy_keys, "_policy_key", "left_anti"), "claims_unknown_policy"),
             _count_as(claims.join(adjuster_keys, "_adjuster_key", "left_anti"), "claims_unknown_adjuster"),
             _count_as(payments.join(known, "claim_id", "left_anti"), "payments_unknown_claim"),
-            unreadable,
+            _count_as(unreadable, "payments_unreadable"),
             _count_as(notes.join(known, "claim_id", "left_anti"), "notes_unknown_claim"),
             _count_as(notes.where(F.col("note_text").isNull()), "notes_without_text"),
         ]
     )
 
 
-def _two_counts(whole: DataFrame, part: DataFrame) -> DataFrame:
-    """Rows of ``whole`` that are missing from its subset ``part``."""
-    ones = whole.agg(F.count(F.lit(1)).alias("n")).unionByName(part.agg((-F.count(F.lit(1))).alias("n")))
-    return ones.agg(F.sum("n").alias("cnt"))
-
-
 def _count_as(df: DataFrame, name: str, label: str = "issue") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(name).alias(label), "cnt")
 
@@ -125,11 +116,11 @@ def qc_constraints(core: dict[str, DataFrame]) -> DataFrame:
         return _count_as(child.where(F.col(column).isNotNull()).join(keys, column, "left_anti"), name, "check")
 
     checks = [
-        _repeated_keys(policies, canon_key(F.col("policy_number")), "unique_policy_number"),
+        _repeated_keys(policies, canon_key("policy_number"), "unique_policy_number"),
         _repeated_keys(policies, F.col("policy_id"), "unique_policy_id"),
-        _repeated_keys(adjusters, canon_key(F.col("adjuster_ext_id")), "unique_adjuster_ext_id"),
+        _repeated_keys(adjusters, canon_key("adjuster_ext_id"), "unique_adjuster_ext_id"),
         _repeated_keys(adjusters, F.col("adjuster_id"), "unique_adjuster_id"),
-        _repeated_keys(claims, canon_key(F.col("claim_number")), "unique_claim_number"),
+        _repeated_keys(claims, canon_key("claim_number"), "unique_claim_number"),
         _repeated_keys(claims, F.col("claim_id"), "unique_claim_id"),
         orphans(claims, "policy_id", policies, "policy_id", "claim_policy_reference"),
         orphans(claims, "adjuster_id", adjusters, "adjuster_id", "claim_adjuster_reference"),

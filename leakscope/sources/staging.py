@@ -7,6 +7,7 @@ a misspelt cost type and waves of duplicate rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.TEST_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def _spread(table: DataFrame) -> DataFrame:
+    """Rows over all cores when the files have fewer splits than there are cores.
+
+    A small file with a single row group would be cleaned by one task. Large
+    tables are read as they lie.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def _every(number: Column, step: int) -> Column:
     return number % step == 0
 
@@ -160,16 +171,43 @@ def stage_notes(events: DataFrame, n_claims: int | Column) -> DataFrame:
     )
 
 
-def stage_all(spark: SparkSession, folder: str, as_of: datetime = FIXTURE_AS_OF) -> dict[str, DataFrame]:
-    """All five staging tables of a folder of test tables, lazily."""
-    supplier = read_table(spark, folder, "supplier")
-    orders = read_table(spark, folder, "orders")
-    n_adjusters = supplier.agg(F.count(F.lit(1)).alias("n")).scalar()
-    n_claims = orders.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return {
-        "staged_policies": stage_policies(read_table(spark, folder, "customer"), as_of),
-        "staged_claims": stage_claims(orders, n_adjusters),
-        "staged_payments": stage_payments(read_table(spark, folder, "lineitem")),
-        "staged_adjuster": stage_adjuster(supplier, as_of),
-        "staged_notes": stage_notes(read_table(spark, folder, "events"), n_claims),
-    }
+class StagedTables(Mapping):
+    """The five staging tables of a folder of test tables, each made when asked for."""
+
+    NAMES = ("staged_policies", "staged_claims", "staged_payments", "staged_adjuster", "staged_notes")
+
+    def __init__(self, spark: SparkSession, folder: str, as_of: datetime = FIXTURE_AS_OF):
+        self.spark, self.folder, self.as_of = spark, folder, as_of
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._make(name)
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+    def _read(self, name: str) -> DataFrame:
+        return read_table(self.spark, self.folder, name)
+
+    def _size(self, name: str) -> Column:
+        """Number of rows as a subquery, which Spark answers from the file footers' row counts."""
+        return self._read(name).agg(F.count(F.lit(1)).alias("n")).scalar()
+
+    def _make(self, name: str) -> DataFrame:
+        match name:
+            case "staged_policies":
+                return stage_policies(self._read("customer"), self.as_of)
+            case "staged_claims":
+                return stage_claims(_spread(self._read("orders")), self._size("supplier"))
+            case "staged_payments":
+                return stage_payments(_spread(self._read("lineitem")))
+            case "staged_adjuster":
+                return stage_adjuster(self._read("supplier"), self.as_of)
+            case "staged_notes":
+                return stage_notes(_spread(self._read("events")), self._size("orders"))
+        raise KeyError(name)
