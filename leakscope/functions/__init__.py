@@ -1 +1 @@
-"""Column helpers: every one maps columns to a column, with built-in functions only."""
+"""Cleaning rules and arithmetic, all made of built-in Spark expressions."""

@@ -9,16 +9,13 @@ expression for each use.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The accepted spellings of a date and of the time that may follow.
 _DAYS = ("yyyy-M-d", "M/d/yyyy", "d-MMM-yyyy", "yyyyMMdd")
 _TIMES = (" H:mm[:ss[.SSSSSS]]", "''T''H:mm[:ss[.SSSSSS]]")
 _PATTERN = "".join(f"[{spelling}]" for spelling in _DAYS + _TIMES)
 
 
-def parse_datetime(text: str) -> Column:
+def parse_datetime(text: str) -> str:
     """Timestamp of a text column in any accepted spelling, at midnight without a time.
 
     Anything else, such as an empty text or the word NULL, is NULL: every
@@ -27,13 +24,13 @@ def parse_datetime(text: str) -> Column:
     """
     digits = ", ".join(str(ord(digit)) for digit in "0123456789")
     parsed = f"cast(try_to_timestamp(trim({text}), '{_PATTERN}') AS timestamp_ntz)"
-    return F.expr(f"if(ascii(trim({text})) IN ({digits}), {parsed}, NULL)")
+    return f"if(ascii(trim({text})) IN ({digits}), {parsed}, NULL)"
 
 
-def parse_date(text: str) -> Column:
+def parse_date(text: str) -> str:
     """Like :func:`parse_datetime`, without the time of day."""
-    return parse_datetime(text).cast("date")
+    return f"cast({parse_datetime(text)} AS date)"
 
 
-def quarter_start(day: str) -> Column:
-    return F.expr(f"cast(date_trunc('quarter', cast({day} AS timestamp_ntz)) AS date)")
+def quarter_start(day: str) -> str:
+    return f"cast(date_trunc('quarter', cast({day} AS timestamp_ntz)) AS date)"

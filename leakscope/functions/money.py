@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def parse_money(text: str) -> Column:
+def parse_money(text: str) -> str:
     """Amount of a text column as decimal(18,2).
 
     An empty text is 0.00, the word NULL and anything unreadable is NULL. A
@@ -16,7 +16,7 @@ def parse_money(text: str) -> Column:
     first = ", ".join(str(ord(mark)) for mark in "0123456789+-.$,")
     plain = f"translate(trim({text}), 'Ee$,', 'xx')"
     amount = f"CASE WHEN ascii(trim({text})) IN ({first}) THEN try_cast({plain} AS decimal(19,4))"
-    return F.expr(f"cast({amount} WHEN trim({text}) = '' THEN 0 END AS decimal(18,2))")
+    return f"cast({amount} WHEN trim({text}) = '' THEN 0 END AS decimal(18,2))"
 
 
 def whole_div(dividend: Column, divisor: Column) -> Column:

@@ -1,83 +1,77 @@
 """Text cleaning rules and business keys.
 
-The helpers take the SQL text of their input, usually a column name.
+The helpers take the SQL text of their input, usually a column name, and return
+the SQL text of a built-in expression.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from leakscope.config import KeyFormat, KeywordRule
 
 
-def trimmed(text: str) -> Column:
-    return F.expr(f"trim({text})")
-
-
-def clean_text(text: str) -> Column:
+def clean_text(text: str) -> str:
     """Trim blanks; an empty text is NULL."""
-    return F.expr(f"nullif(trim({text}), '')")
+    return f"nullif(trim({text}), '')"
 
 
-def clean_upper(text: str) -> Column:
-    return F.expr(f"nullif(upper(trim({text})), '')")
+def clean_upper(text: str) -> str:
+    return f"nullif(upper(trim({text})), '')"
 
 
-def canon_key(key: str) -> Column:
+def canon_key(key: str) -> str:
     """Form in which keys are matched: case and trailing blanks do not count,
     leading blanks do."""
-    return F.expr(f"upper(rtrim({key}))")
+    return f"upper(rtrim({key}))"
 
 
-def norm_lob(lob: str) -> Column:
+def norm_lob(lob: str) -> str:
     """Line of business in capitals, GL when missing; W C is WC."""
-    return F.expr(f"if(upper(trim({lob})) = 'W C', 'WC', coalesce(nullif(upper(trim({lob})), ''), 'GL'))")
+    return f"if(upper(trim({lob})) = 'W C', 'WC', coalesce(nullif(upper(trim({lob})), ''), 'GL'))"
 
 
-def _two_letters(state: str, of_longer: dict[str, str]) -> Column:
+def _two_letters(state: str, of_longer: dict[str, str]) -> str:
     """A value of two letters as it is, a longer one by the first pattern it matches."""
     longer = " ".join(f"WHEN raw LIKE '{pattern}' THEN '{code}'" for pattern, code in of_longer.items())
     rule = f"CASE WHEN length(raw) = 2 THEN raw {longer} END"
-    return F.expr(rule.replace("raw", f"upper(trim({state}))"))
+    return rule.replace("raw", f"upper(trim({state}))")
 
 
-def norm_policy_state(state: str) -> Column:
+def norm_policy_state(state: str) -> str:
     """Two-letter state; longer values count when they begin with IL or WI."""
     return _two_letters(state, {"IL%": "IL", "WI%": "WI"})
 
 
-def norm_loss_state(state: str) -> Column:
+def norm_loss_state(state: str) -> str:
     """Two-letter state; longer values count when they end with WI or IL."""
     return _two_letters(state, {"%WI": "WI", "%IL": "IL"})
 
 
-def norm_status(status: str) -> Column:
+def norm_status(status: str) -> str:
     """Open or Closed in any case; everything else, also NULL, is Litigation."""
     spelled = f"initcap(trim({status}))"
-    return F.expr(f"if({spelled} IN ('Open', 'Closed'), {spelled}, 'Litigation')")
+    return f"if({spelled} IN ('Open', 'Closed'), {spelled}, 'Litigation')"
 
 
-def norm_cost_type(cost_type: str) -> Column:
+def norm_cost_type(cost_type: str) -> str:
     """Mends the known misspelling of Indemnity; other values keep their case."""
-    return F.expr(f"if(upper(trim({cost_type})) = 'INDEMNTY', 'Indemnity', nullif(trim({cost_type}), ''))")
+    return f"if(upper(trim({cost_type})) = 'INDEMNTY', 'Indemnity', nullif(trim({cost_type}), ''))"
 
 
-def pad_number(number: Column, width: int) -> Column:
+def pad_number(number: str, width: int) -> str:
     """Zero-padded text of a whole number; longer numbers are kept whole."""
-    digits = number.cast("bigint").cast("string")
-    return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
+    digits = f"cast({number} AS string)"
+    return f"lpad({digits}, greatest({width}, length({digits})), '0')"
 
 
-def _numbered(canonical: str, fmt: KeyFormat) -> Column:
+def _numbered(canonical: str, fmt: KeyFormat) -> str:
     # The width in digits, or more digits without a leading zero: one spelling per number.
     spelling = f"^{fmt.prefix}([0-9]{{{fmt.width}}}|[1-9][0-9]{{{fmt.width},17}})$"
     number = f"try_cast(regexp_extract({canonical}, '{spelling}', 1) AS bigint)"
     hashed = f"-(xxhash64({canonical}) & {2**63 - 1}) - 1"
-    return F.expr(f"coalesce({number}, if({canonical} IS NULL, NULL, {hashed}))")
+    return f"coalesce({number}, if({canonical} IS NULL, NULL, {hashed}))"
 
 
-def key_number(key: str, fmt: KeyFormat) -> Column:
+def key_number(key: str, fmt: KeyFormat) -> str:
     """Surrogate of a business key, the same on every run and without a shuffle.
 
     A key in its standard form (prefix and zero-padded number) gives its number.
@@ -88,12 +82,13 @@ def key_number(key: str, fmt: KeyFormat) -> Column:
     return _numbered(f"upper(trim({key}))", fmt)
 
 
-def parent_number(key: str, fmt: KeyFormat) -> Column:
+def parent_number(key: str, fmt: KeyFormat) -> str:
     """Number of the parent a child row refers to; with leading blanks in the
     reference it matches no parent."""
-    return F.when(~F.expr(f"startswith({key}, ' ')"), _numbered(f"upper(rtrim({key}))", fmt))
+    return f"if(startswith({key}, ' '), NULL, {_numbered(f'upper(rtrim({key}))', fmt)})"
 
 
-def has_phrases(text: str, rule: KeywordRule) -> Column:
+def has_phrases(text: str, rule: KeywordRule) -> str:
     """True when one text holds every phrase of the rule, in any case."""
-    return F.expr(" AND ".join(f"contains(lower({text}), '{phrase.lower()}')" for phrase in rule.phrases))
+    quoted = [phrase.lower().replace("\\", "\\\\").replace("'", "\\'") for phrase in rule.phrases]
+    return " AND ".join(f"contains(lower({text}), '{phrase}')" for phrase in quoted)

@@ -57,7 +57,7 @@ def quarterly_severity(claims: DataFrame, policies: DataFrame) -> DataFrame:
     """
     quarters = (
         with_lob(claims, policies)
-        .groupBy("lob", "loss_state", quarter_start("loss_date").alias("qstart"))
+        .groupBy("lob", "loss_state", F.expr(quarter_start("loss_date")).alias("qstart"))
         .agg(F.sum(severity()).alias("_total"), F.count(severity()).alias("_claims"))
         .withColumn("_avg", micro_avg(F.col("_total"), F.col("_claims")))
     )
@@ -247,7 +247,7 @@ def clue6_notes_flags(
     Notes without any flag cannot matter and stop at the scan.
     """
     flags = [rule.flag for rule in rules]
-    marked = notes.select("claim_id", *[has_phrases("note_text", rule).alias(rule.flag) for rule in rules])
+    marked = notes.select("claim_id", *[F.expr(has_phrases("note_text", rule)).alias(rule.flag) for rule in rules])
     any_flag = F.greatest(*[F.col(flag) for flag in flags]) if len(flags) > 1 else F.col(flags[0])
     per_claim = (
         marked.where(any_flag)

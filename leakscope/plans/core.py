@@ -6,6 +6,8 @@ reuses equal exchanges.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +16,13 @@ from leakscope.functions.dates import parse_date, parse_datetime
 from leakscope.functions.money import parse_money
 from leakscope.functions.text import (
     canon_key, clean_text, clean_upper, key_number, norm_cost_type, norm_lob, norm_loss_state, norm_policy_state,
-    norm_status, parent_number, trimmed,
+    norm_status, parent_number,
 )
 from leakscope.operators.dedup import keep_one
 from leakscope.operators.keys import number_rows
+from leakscope.operators.project import project
 from leakscope.sources import schemas
+from leakscope.sources.storage import write_stored
 
 
 def _columns(table: str) -> list[str]:
@@ -26,60 +30,61 @@ def _columns(table: str) -> list[str]:
 
 
 def core_policies(staged: DataFrame, key: KeyFormat = POLICY_KEY) -> DataFrame:
-    return staged.where(F.col("policy_number").isNotNull()).select(
-        key_number("policy_number", key).alias("policy_id"),
-        trimmed("policy_number").alias("policy_number"),
-        clean_text("insured_name").alias("insured_name"),
-        norm_lob("lob").alias("lob"),
-        parse_date("effective_date").alias("effective_date"),
-        parse_date("expiration_date").alias("expiration_date"),
-        norm_policy_state("state").alias("state"),
-        clean_text("broker_code").alias("broker_code"),
+    return project(
+        staged.where("policy_number IS NOT NULL"),
+        policy_id=key_number("policy_number", key),
+        policy_number="trim(policy_number)",
+        insured_name=clean_text("insured_name"),
+        lob=norm_lob("lob"),
+        effective_date=parse_date("effective_date"),
+        expiration_date=parse_date("expiration_date"),
+        state=norm_policy_state("state"),
+        broker_code=clean_text("broker_code"),
     )
 
 
 def loaded_adjusters(staged: DataFrame, key: KeyFormat = ADJUSTER_KEY) -> DataFrame:
     """Adjusters before their supervisor is resolved, enough to resolve claims with."""
-    return staged.where(F.col("adjuster_ext_id").isNotNull()).select(
-        key_number("adjuster_ext_id", key).alias("adjuster_id"),
-        trimmed("adjuster_ext_id").alias("adjuster_ext_id"),
-        clean_text("full_name").alias("full_name"),
-        parse_date("hire_date").alias("hire_date"),
-        clean_text("office").alias("office"),
+    return project(
+        staged.where("adjuster_ext_id IS NOT NULL"),
+        adjuster_id=key_number("adjuster_ext_id", key),
+        adjuster_ext_id="trim(adjuster_ext_id)",
+        full_name=clean_text("full_name"),
+        hire_date=parse_date("hire_date"),
+        office=clean_text("office"),
         # Only a staged id without leading blanks finds its own loaded row again.
-        F.expr("if(startswith(adjuster_ext_id, ' '), NULL, upper(rtrim(supervisor_ext_id)))").alias("_supervisor_key"),
+        _supervisor_key=f"if(startswith(adjuster_ext_id, ' '), NULL, {canon_key('supervisor_ext_id')})",
     )
 
 
 def core_adjuster(staged: DataFrame, key: KeyFormat = ADJUSTER_KEY) -> DataFrame:
     """Adjusters with their supervisor resolved; an unknown supervisor is NULL."""
     adjusters = loaded_adjusters(staged, key)
-    supervisors = adjusters.select(
-        F.col("adjuster_id").alias("supervisor_id"), canon_key("adjuster_ext_id").alias("_supervisor_key")
-    )
+    supervisors = project(adjusters, supervisor_id="adjuster_id", _supervisor_key=canon_key("adjuster_ext_id"))
     return adjusters.join(supervisors, "_supervisor_key", "left").select(*_columns("core_adjuster"))
 
 
 def unique_claims(staged: DataFrame, key: KeyFormat = CLAIM_KEY) -> DataFrame:
     """Cleaned staged claims, one per claim number, with the keys to resolve."""
-    claims = staged.select(
-        F.coalesce(key_number("claim_number", key), F.lit(-1)).alias("claim_id"),
-        trimmed("claim_number").alias("claim_number"),
-        parse_date("loss_date").alias("loss_date"),
-        parse_date("report_date").alias("report_date"),
-        clean_text("injury_cause").alias("injury_cause"),
-        clean_text("body_part").alias("body_part"),
-        clean_text("claimant_id").alias("claimant_id"),
-        norm_loss_state("loss_state").alias("loss_state"),
-        parse_money("incurred_total").alias("incurred_total"),
-        parse_money("paid_total").alias("paid_total"),
-        parse_money("reserve_total").alias("reserve_total"),
-        norm_status("status").alias("status"),
-        canon_key("trim(policy_number)").alias("_policy_key"),
-        canon_key("trim(adjuster_ext_id)").alias("_adjuster_key"),
-        canon_key("trim(claim_number)").alias("_claim_key"),
+    claims = project(
+        staged,
+        claim_id=f"coalesce({key_number('claim_number', key)}, -1L)",
+        claim_number="trim(claim_number)",
+        loss_date=parse_date("loss_date"),
+        report_date=parse_date("report_date"),
+        injury_cause=clean_text("injury_cause"),
+        body_part=clean_text("body_part"),
+        claimant_id=clean_text("claimant_id"),
+        loss_state=norm_loss_state("loss_state"),
+        incurred_total=parse_money("incurred_total"),
+        paid_total=parse_money("paid_total"),
+        reserve_total=parse_money("reserve_total"),
+        status=norm_status("status"),
+        _policy_key=canon_key("trim(policy_number)"),
+        _adjuster_key=canon_key("trim(adjuster_ext_id)"),
+        _claim_key=canon_key("trim(claim_number)"),
         # The reference keeps any of the copies; the digest makes it the same one every time.
-        F.xxhash64(*schemas.STAGED["staged_claims"].fieldNames()).alias("_order"),
+        _order=f"xxhash64({', '.join(schemas.STAGED['staged_claims'].fieldNames())})",
     )
     return keep_one(claims, ["_claim_key"], F.col("_order")).drop("_claim_key", "_order")
 
@@ -93,8 +98,8 @@ def core_claims(
     needs them a second join with the policies. ``adjusters`` are the core table
     or, as supervisors do not matter here, the result of :func:`loaded_adjusters`.
     """
-    policy_keys = policies.select("policy_id", canon_key("policy_number").alias("_policy_key"), *carry)
-    adjuster_keys = adjusters.select("adjuster_id", canon_key("adjuster_ext_id").alias("_adjuster_key"))
+    policy_keys = policies.selectExpr("policy_id", f"{canon_key('policy_number')} AS _policy_key", *carry)
+    adjuster_keys = adjusters.selectExpr("adjuster_id", f"{canon_key('adjuster_ext_id')} AS _adjuster_key")
     return (
         unique_claims(staged)
         .join(policy_keys, "_policy_key")
@@ -110,15 +115,16 @@ def conform_payments(staged: DataFrame, key: KeyFormat = CLAIM_KEY) -> DataFrame
     join with the claims anyway. That saves a second shuffle of all payments, and a
     filter on parsed values, which Spark would evaluate by parsing them twice.
     """
-    return staged.select(
-        parent_number("claim_number", key).alias("claim_id"),
-        parse_date("payment_date").alias("payment_date"),
-        clean_upper("payee_type").alias("payee_type"),
-        clean_text("vendor_id").alias("vendor_id"),
-        norm_cost_type("cost_type").alias("cost_type"),
-        clean_upper("cost_category").alias("cost_category"),
-        parse_money("amount").alias("amount"),
-        clean_text("check_number").alias("check_number"),
+    return project(
+        staged,
+        claim_id=parent_number("claim_number", key),
+        payment_date=parse_date("payment_date"),
+        payee_type=clean_upper("payee_type"),
+        vendor_id=clean_text("vendor_id"),
+        cost_type=norm_cost_type("cost_type"),
+        cost_category=clean_upper("cost_category"),
+        amount=parse_money("amount"),
+        check_number=clean_text("check_number"),
     )
 
 
@@ -144,11 +150,12 @@ def core_payments(staged: DataFrame, claims: DataFrame) -> DataFrame:
 
 def conform_notes(staged: DataFrame, key: KeyFormat = CLAIM_KEY) -> DataFrame:
     """Cleaned notes that have a text, claims not yet checked."""
-    return staged.where(F.col("note_text").isNotNull()).select(
-        parent_number("claim_number", key).alias("claim_id"),
-        parse_datetime("note_time").alias("note_time"),
-        clean_text("author").alias("author"),
-        "note_text",
+    return project(
+        staged.where("note_text IS NOT NULL"),
+        claim_id=parent_number("claim_number", key),
+        note_time=parse_datetime("note_time"),
+        author=clean_text("author"),
+        note_text="note_text",
     )
 
 
@@ -161,7 +168,7 @@ def core_notes(staged: DataFrame, claims: DataFrame) -> DataFrame:
     return number_rows(notes, notes.columns, "note_id")
 
 
-def build_core(staged: dict[str, DataFrame], numbered: bool = True) -> dict[str, DataFrame]:
+def build_core(staged: Mapping[str, DataFrame], numbered: bool = True) -> dict[str, DataFrame]:
     """The five core tables from the five staging tables.
 
     With ``numbered=False`` payments and notes come without their row numbers
@@ -179,3 +186,22 @@ def build_core(staged: dict[str, DataFrame], numbered: bool = True) -> dict[str,
         "core_payments": payments(staged["staged_payments"], claims),
         "core_notes": notes(staged["staged_notes"], claims),
     }
+
+
+def load_core(staged: Mapping[str, DataFrame], base: str) -> dict[str, DataFrame]:
+    """Full refresh of the stored core tables under ``base``; returns the stored tables.
+
+    Parents are stored first and children are resolved against what was stored,
+    so no table is cleaned twice.
+    """
+    stored: dict[str, DataFrame] = {}
+
+    def store(name: str, table: DataFrame) -> None:
+        stored[name] = write_stored(table, base, "core", name)
+
+    store("core_policies", core_policies(staged["staged_policies"]))
+    store("core_adjuster", core_adjuster(staged["staged_adjuster"]))
+    store("core_claims", core_claims(staged["staged_claims"], stored["core_policies"], stored["core_adjuster"]))
+    store("core_payments", core_payments(staged["staged_payments"], stored["core_claims"]))
+    store("core_notes", core_notes(staged["staged_notes"], stored["core_claims"]))
+    return stored

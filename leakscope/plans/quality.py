@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +27,7 @@ def _labelled_counts(tables: dict[str, DataFrame], label: str, count: str) -> Da
     )
 
 
-def staged_counts(staged: dict[str, DataFrame]) -> DataFrame:
+def staged_counts(staged: Mapping[str, DataFrame]) -> DataFrame:
     order = ("policies", "claims", "payments", "adjuster", "notes")
     return _labelled_counts({name: staged[f"staged_{name}"] for name in order}, "Src", "Counts")
 
@@ -62,7 +63,7 @@ def qc_money_nulls(claims: DataFrame, n: int | None = 20) -> DataFrame:
     return missing if n is None else missing.orderBy("claim_number").limit(n)
 
 
-def qc_rejected_rows(staged: dict[str, DataFrame], core: dict[str, DataFrame]) -> DataFrame:
+def qc_rejected_rows(staged: Mapping[str, DataFrame], core: dict[str, DataFrame]) -> DataFrame:
     """How many staged rows each load left out, by reason.
 
     A claim without policy and adjuster counts under both reasons.
@@ -75,14 +76,14 @@ def qc_rejected_rows(staged: dict[str, DataFrame], core: dict[str, DataFrame]) -
         .agg((F.sum("rows") - F.sum("kept")).alias("cnt"))
         .select(F.lit("claims_repeated").alias("issue"), "cnt")
     )
-    policy_keys = core["core_policies"].select(canon_key("policy_number").alias("_policy_key"))
-    adjuster_keys = core["core_adjuster"].select(canon_key("adjuster_ext_id").alias("_adjuster_key"))
+    policy_keys = core["core_policies"].select(F.expr(canon_key("policy_number")).alias("_policy_key"))
+    adjuster_keys = core["core_adjuster"].select(F.expr(canon_key("adjuster_ext_id")).alias("_adjuster_key"))
     known = core["core_claims"].select("claim_id")
     payments = staged["staged_payments"].select(
-        parent_number("claim_number", CLAIM_KEY).alias("claim_id")
+        F.expr(parent_number("claim_number", CLAIM_KEY)).alias("claim_id")
     )
     notes = staged["staged_notes"].select(
-        parent_number("claim_number", CLAIM_KEY).alias("claim_id"), "note_text"
+        F.expr(parent_number("claim_number", CLAIM_KEY)).alias("claim_id"), "note_text"
     )
     unreadable = conform_payments(staged["staged_payments"]).where(~is_readable())
     return _union(
@@ -116,11 +117,11 @@ def qc_constraints(core: dict[str, DataFrame]) -> DataFrame:
         return _count_as(child.where(F.col(column).isNotNull()).join(keys, column, "left_anti"), name, "check")
 
     checks = [
-        _repeated_keys(policies, canon_key("policy_number"), "unique_policy_number"),
+        _repeated_keys(policies, F.expr(canon_key("policy_number")), "unique_policy_number"),
         _repeated_keys(policies, F.col("policy_id"), "unique_policy_id"),
-        _repeated_keys(adjusters, canon_key("adjuster_ext_id"), "unique_adjuster_ext_id"),
+        _repeated_keys(adjusters, F.expr(canon_key("adjuster_ext_id")), "unique_adjuster_ext_id"),
         _repeated_keys(adjusters, F.col("adjuster_id"), "unique_adjuster_id"),
-        _repeated_keys(claims, canon_key("claim_number"), "unique_claim_number"),
+        _repeated_keys(claims, F.expr(canon_key("claim_number")), "unique_claim_number"),
         _repeated_keys(claims, F.col("claim_id"), "unique_claim_id"),
         orphans(claims, "policy_id", policies, "policy_id", "claim_policy_reference"),
         orphans(claims, "adjuster_id", adjusters, "adjuster_id", "claim_adjuster_reference"),

@@ -24,6 +24,7 @@ CLUSTER_SETTINGS = {
 LOCAL_SETTINGS = {
     **CLUSTER_SETTINGS,
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",

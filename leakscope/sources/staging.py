@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from leakscope.config import FIXTURE_AS_OF
 from leakscope.functions.text import pad_number
 from leakscope.operators.copies import append_copies
+from leakscope.operators.project import project
 from leakscope.sources import schemas
 
 _US, _ISO, _NAMED = "MM/dd/yyyy", "yyyy-MM-dd", "dd-MMM-yyyy"
@@ -26,45 +27,55 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.TEST_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _spread(table: DataFrame) -> DataFrame:
+def _spread(table: DataFrame, *keys: str) -> DataFrame:
     """Rows over all cores when the files have fewer splits than there are cores.
 
     A small file with a single row group would be cleaned by one task. Large
     tables are read as they lie.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table
 
 
-def _every(number: Column, step: int) -> Column:
-    return number % step == 0
+def _by_step(number: str, values: dict[int, str], otherwise: str) -> str:
+    """The value of the first step that divides the number."""
+    cases = " ".join(f"WHEN {number} % {step} = 0 THEN {value}" for step, value in values.items())
+    return f"CASE {cases} ELSE {otherwise} END"
 
 
-def _key(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), pad_number(number, 9))
+def _by_value(column: str, values: dict[str, str], otherwise: str) -> str:
+    cases = " ".join(f"WHEN '{value}' THEN '{result}'" for value, result in values.items())
+    return f"CASE {column} {cases} ELSE '{otherwise}' END"
 
 
-def _dollars(number: Column) -> Column:
-    return F.concat(F.floor(number).cast("string"), F.lit(".000000"))
+def _key(prefix: str, number: str) -> str:
+    return f"concat('{prefix}', {pad_number(number, 9)})"
+
+
+def _labelled(prefix: str, number: str) -> str:
+    return f"concat_ws('', '{prefix}', cast({number} AS string))"
+
+
+def _dollars(number: str) -> str:
+    return f"concat(cast(floor({number}) AS string), '.000000')"
+
+
+def _spelled(day: str, spelling: str) -> str:
+    return f"date_format({day}, '{spelling}')"
 
 
 def stage_policies(customer: DataFrame, as_of: datetime = FIXTURE_AS_OF) -> DataFrame:
-    i = F.col("c_custkey") + 1
-    start = F.date_sub(F.lit(as_of.date()), (i % 1200).cast("int"))
-    return customer.select(
-        _key("POL", i).alias("policy_number"),
-        F.col("c_name").alias("insured_name"),
-        F.when(_every(i, 7), "gl").when(_every(i, 11), "Wc ").when(_every(i, 3), "WC").otherwise("GL").alias("lob"),
-        F.when(_every(i, 5), F.date_format(start, _US))
-        .when(_every(i, 9), F.date_format(start, _ISO))
-        .otherwise(F.date_format(start, _NAMED))
-        .alias("effective_date"),
-        F.when(_every(i, 8), "")
-        .when(_every(i, 10), "NULL")
-        .otherwise(F.date_format(F.date_add(start, 365), _ISO))
-        .alias("expiration_date"),
-        F.when(_every(i, 6), "il ").when(_every(i, 4), "wi").otherwise("IL").alias("state"),
-        F.concat_ws("", F.lit("BRK"), (i % 300 + 1).cast("string")).alias("broker_code"),
+    i = "(c_custkey + 1)"
+    start = f"date_sub(DATE '{as_of:%Y-%m-%d}', cast({i} % 1200 AS int))"
+    return project(
+        customer,
+        policy_number=_key("POL", i),
+        insured_name="c_name",
+        lob=_by_step(i, {7: "'gl'", 11: "'Wc '", 3: "'WC'"}, "'GL'"),
+        effective_date=_by_step(i, {5: _spelled(start, _US), 9: _spelled(start, _ISO)}, _spelled(start, _NAMED)),
+        expiration_date=_by_step(i, {8: "''", 10: "'NULL'"}, _spelled(f"date_add({start}, 365)", _ISO)),
+        state=_by_step(i, {6: "'il '", 4: "'wi'"}, "'IL'"),
+        broker_code=_labelled("BRK", f"{i} % 300 + 1"),
     )
 
 
@@ -74,100 +85,79 @@ def stage_claims(orders: DataFrame, n_adjusters: int | Column) -> DataFrame:
     ``n_adjusters`` is a number or a one-value subquery such as
     ``supplier.agg(count).scalar()``.
     """
-    i = F.col("o_orderkey") + 1
+    i, loss = "(o_orderkey + 1)", "cast(o_orderdate AS date)"
     n = n_adjusters if isinstance(n_adjusters, Column) else F.lit(n_adjusters)
-    loss = F.col("o_orderdate").cast("date")
-    price = F.col("o_totalprice")
-    claims = orders.select(
-        _key("CLM", i).alias("claim_number"),
-        _key("POL", F.col("o_custkey") + 1).alias("policy_number"),
-        F.when(_every(i, 5), F.date_format(loss, _US))
-        .when(_every(i, 7), "NULL")
-        .otherwise(F.date_format(loss, _ISO))
-        .alias("loss_date"),
-        F.when(_every(i, 6), "")
-        .otherwise(F.date_format(F.date_add(loss, (i % 10).cast("int")), _NAMED))
-        .alias("report_date"),
-        F.when(_every(i, 9), "Slip/Trip").when(_every(i, 13), "Overexertion").otherwise("Struck-By")
-        .alias("injury_cause"),
-        F.when(_every(i, 8), "Back").when(_every(i, 10), "Shoulder").otherwise("Hand").alias("body_part"),
-        _key("P", i).alias("claimant_id"),
-        F.when(_every(i, 3), "wi").otherwise("IL").alias("loss_state"),
-        F.when(_every(i, 11), "N/A").otherwise(_dollars(F.floor(price) % 20000)).alias("incurred_total"),
-        F.when(_every(i, 12), "").otherwise(_dollars(F.floor(price) % 12000)).alias("paid_total"),
-        F.when(_every(i, 14), "NULL").otherwise(_dollars(F.floor(price * 7) % 18000)).alias("reserve_total"),
-        F.when(F.col("o_orderstatus") == "O", "open")
-        .when(F.col("o_orderstatus") == "F", "Closed")
-        .otherwise("Litigation")
-        .alias("status"),
-        _key("A", F.col("o_orderkey") % n + 1).alias("adjuster_ext_id"),
-        _every(i, 50).alias("_again"),
+    claims = project(
+        orders.withColumn("_adjuster", F.col("o_orderkey") % n + 1),
+        claim_number=_key("CLM", i),
+        policy_number=_key("POL", "(o_custkey + 1)"),
+        loss_date=_by_step(i, {5: _spelled(loss, _US), 7: "'NULL'"}, _spelled(loss, _ISO)),
+        report_date=_by_step(i, {6: "''"}, _spelled(f"date_add({loss}, cast({i} % 10 AS int))", _NAMED)),
+        injury_cause=_by_step(i, {9: "'Slip/Trip'", 13: "'Overexertion'"}, "'Struck-By'"),
+        body_part=_by_step(i, {8: "'Back'", 10: "'Shoulder'"}, "'Hand'"),
+        claimant_id=_key("P", i),
+        loss_state=_by_step(i, {3: "'wi'"}, "'IL'"),
+        incurred_total=_by_step(i, {11: "'N/A'"}, _dollars("floor(o_totalprice) % 20000")),
+        paid_total=_by_step(i, {12: "''"}, _dollars("floor(o_totalprice) % 12000")),
+        reserve_total=_by_step(i, {14: "'NULL'"}, _dollars("floor(o_totalprice * 7) % 18000")),
+        status=_by_value("o_orderstatus", {"O": "open", "F": "Closed"}, "Litigation"),
+        adjuster_ext_id=_key("A", "_adjuster"),
+        _again=f"{i} % 50 = 0",
     )
-    return append_copies(claims, F.col("_again")).drop("_again")
+    return append_copies(claims, "_again").drop("_again")
 
 
 def stage_adjuster(supplier: DataFrame, as_of: datetime = FIXTURE_AS_OF) -> DataFrame:
-    i = F.col("s_suppkey") + 1
-    return supplier.select(
-        _key("A", i).alias("adjuster_ext_id"),
-        F.col("s_name").alias("full_name"),
-        F.when(_every(i, 9), "")
-        .otherwise(F.date_format(F.date_sub(F.lit(as_of.date()), (i % 3650).cast("int")), _ISO))
-        .alias("hire_date"),
-        F.when(_every(i, 3), "Milwaukee").when(_every(i, 5), "Chicago").otherwise("Madison").alias("office"),
-        F.when(i == 1, F.lit(None).cast("string"))
-        .when(_every(i, 10), _key("A", i))
-        .otherwise(_key("A", F.floor((i - 1) / 4) + 1))
-        .alias("supervisor_ext_id"),
+    """Adjusters in a tree of four reports each; every tenth supervises itself."""
+    i = "(s_suppkey + 1)"
+    hired = f"date_sub(DATE '{as_of:%Y-%m-%d}', cast({i} % 3650 AS int))"
+    above = _by_step(i, {10: _key("A", i)}, _key("A", f"(({i} - 1) div 4 + 1)"))
+    return project(
+        supplier,
+        adjuster_ext_id=_key("A", i),
+        full_name="s_name",
+        hire_date=_by_step(i, {9: "''"}, _spelled(hired, _ISO)),
+        office=_by_step(i, {3: "'Milwaukee'", 5: "'Chicago'"}, "'Madison'"),
+        supervisor_ext_id=f"if({i} = 1, NULL, {above})",
     )
 
 
 def stage_payments(lineitem: DataFrame) -> DataFrame:
     """Payments with a second copy of about one row in a hundred."""
-    j = F.col("l_orderkey") + 1
-    paid = F.col("l_shipdate").cast("date")
-    payments = lineitem.select(
-        F.concat(_key("PMT", F.col("l_orderkey")), F.lit("-"), F.col("l_linenumber").cast("string"))
-        .alias("payment_ext_id"),
-        _key("CLM", j).alias("claim_number"),
-        F.when(_every(j, 5), F.date_format(paid, _US))
-        .when(_every(j, 7), F.date_format(paid, _ISO))
-        .otherwise(F.date_format(paid, _NAMED))
-        .alias("payment_date"),
-        F.when(_every(F.col("l_partkey"), 11), "Vendor").otherwise("Provider").alias("payee_type"),
-        F.concat_ws("", F.lit("V"), (F.col("l_suppkey") + 1).cast("string")).alias("vendor_id"),
-        F.when(F.col("l_returnflag") == "A", "Indemnty")
-        .when(F.col("l_returnflag") == "N", "Medical")
-        .otherwise("Indemnity")
-        .alias("cost_type"),
-        F.when(F.col("l_linestatus") == "O", "Other").otherwise("Treatment").alias("cost_category"),
-        F.when(_every(F.col("l_orderkey") * 7 + F.col("l_partkey"), 19), "NULL")
-        .otherwise(_dollars(F.col("l_extendedprice") * F.col("l_discount")))
-        .alias("amount"),
-        F.concat_ws("", F.lit("CHK"), (F.col("l_partkey") + 1).cast("string")).alias("check_number"),
-        _every(F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7 + F.col("l_partkey"), 100).alias("_again"),
+    j, paid = "(l_orderkey + 1)", "cast(l_shipdate AS date)"
+    payments = project(
+        lineitem,
+        payment_ext_id=f"concat({_key('PMT', 'l_orderkey')}, '-', cast(l_linenumber AS string))",
+        claim_number=_key("CLM", j),
+        payment_date=_by_step(j, {5: _spelled(paid, _US), 7: _spelled(paid, _ISO)}, _spelled(paid, _NAMED)),
+        payee_type=_by_step("l_partkey", {11: "'Vendor'"}, "'Provider'"),
+        vendor_id=_labelled("V", "(l_suppkey + 1)"),
+        cost_type=_by_value("l_returnflag", {"A": "Indemnty", "N": "Medical"}, "Indemnity"),
+        cost_category=_by_value("l_linestatus", {"O": "Other"}, "Treatment"),
+        amount=_by_step("(l_orderkey * 7 + l_partkey)", {19: "'NULL'"}, _dollars("l_extendedprice * l_discount")),
+        check_number=_labelled("CHK", "(l_partkey + 1)"),
+        _again="(l_orderkey * 31 + l_linenumber * 7 + l_partkey) % 100 = 0",
     )
-    return append_copies(payments, F.col("_again")).drop("_again")
+    return append_copies(payments, "_again").drop("_again")
+
+
+# The sentence a note has for each kind of event.
+_SENTENCES = {
+    "signup": "Potential subrogation opportunity not pursued.",
+    "error": "Late FNOL. Reported after 20 days.",
+    "purchase": "Duplicate billing suspected by vendor.",
+    "click": "Litigation hold. Reserve to be increased.",
+}
 
 
 def stage_notes(events: DataFrame, n_claims: int | Column) -> DataFrame:
     n = n_claims if isinstance(n_claims, Column) else F.lit(n_claims)
-    sentences = {
-        "signup": "Potential subrogation opportunity not pursued.",
-        "error": "Late FNOL. Reported after 20 days.",
-        "purchase": "Duplicate billing suspected by vendor.",
-        "click": "Litigation hold. Reserve to be increased.",
-    }
-    sentence = F.lit("Routine update.")
-    for kind, text in sentences.items():
-        sentence = F.when(F.col("event_type") == kind, text).otherwise(sentence)
-    return events.select(
-        _key("CLM", F.col("event_id") % n + 1).alias("claim_number"),
-        F.when(_every(F.col("event_id"), 6), F.date_format("ts", "yyyy-MM-dd HH:mm"))
-        .otherwise(F.date_format("ts", _ISO))
-        .alias("note_time"),
-        F.concat_ws("", F.lit("User"), F.col("user_id").cast("string")).alias("author"),
-        sentence.alias("note_text"),
+    return project(
+        events.withColumn("_claim", F.col("event_id") % n + 1),
+        claim_number=_key("CLM", "_claim"),
+        note_time=_by_step("event_id", {6: _spelled("ts", "yyyy-MM-dd HH:mm")}, _spelled("ts", _ISO)),
+        author=_labelled("User", "user_id"),
+        note_text=_by_value("event_type", _SENTENCES, "Routine update."),
     )
 
 
@@ -203,11 +193,12 @@ class StagedTables(Mapping):
             case "staged_policies":
                 return stage_policies(self._read("customer"), self.as_of)
             case "staged_claims":
-                return stage_claims(_spread(self._read("orders")), self._size("supplier"))
+                return stage_claims(_spread(self._read("orders"), "o_orderkey"), self._size("supplier"))
             case "staged_payments":
-                return stage_payments(_spread(self._read("lineitem")))
+                lines = _spread(self._read("lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
+                return stage_payments(lines)
             case "staged_adjuster":
                 return stage_adjuster(self._read("supplier"), self.as_of)
             case "staged_notes":
-                return stage_notes(_spread(self._read("events")), self._size("orders"))
+                return stage_notes(_spread(self._read("events"), "event_id"), self._size("orders"))
         raise KeyError(name)

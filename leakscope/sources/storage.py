@@ -9,6 +9,7 @@ one task and adaptive execution could not split it.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,12 +50,21 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_layer(frames: dict[str, DataFrame], base: str, layer: str) -> None:
+def _in_files(name: str, frame: DataFrame) -> DataFrame:
+    return frame.sortWithinPartitions(_SORT_IN_FILES[name]) if name in _SORT_IN_FILES else frame
+
+
+def write_stored(frame: DataFrame, base: str, layer: str, name: str) -> DataFrame:
+    """Overwrite one table as Parquet under ``base/layer/name`` and read it back."""
+    path = f"{base}/{layer}/{name}"
+    _in_files(name, frame).write.mode("overwrite").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def write_layer(frames: Mapping[str, DataFrame], base: str, layer: str) -> None:
     """Overwrite the tables of a layer as Parquet under ``base/layer``."""
     for name, frame in frames.items():
-        if name in _SORT_IN_FILES:
-            frame = frame.sortWithinPartitions(_SORT_IN_FILES[name])
-        frame.write.mode("overwrite").parquet(f"{base}/{layer}/{name}")
+        write_stored(frame, base, layer, name)
 
 
 def read_layer(spark: SparkSession, base: str, layer: str) -> dict[str, DataFrame]:
@@ -63,16 +73,14 @@ def read_layer(spark: SparkSession, base: str, layer: str) -> dict[str, DataFram
     return {name: spark.read.schema(schema).parquet(f"{base}/{layer}/{name}") for name, schema in declared.items()}
 
 
-def save_tables(spark: SparkSession, frames: dict[str, DataFrame], layer: str) -> None:
+def save_tables(spark: SparkSession, frames: Mapping[str, DataFrame], layer: str) -> None:
     """Overwrite the tables of a layer in the catalog, as ``layer.table``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     for name, frame in frames.items():
-        if name in _SORT_IN_FILES:
-            frame = frame.sortWithinPartitions(_SORT_IN_FILES[name])
-        frame.write.mode("overwrite").format("parquet").saveAsTable(f"{layer}.{name}")
+        _in_files(name, frame).write.mode("overwrite").format("parquet").saveAsTable(f"{layer}.{name}")
 
 
-def register_views(frames: dict[str, DataFrame]) -> None:
+def register_views(frames: Mapping[str, DataFrame]) -> None:
     """Make frames available to SQL under their names; each read evaluates them."""
     for name, frame in frames.items():
         frame.createOrReplaceTempView(name)
