@@ -92,3 +92,9 @@ def has_phrases(text: str, rule: KeywordRule) -> str:
     """True when one text holds every phrase of the rule, in any case."""
     quoted = [phrase.lower().replace("\\", "\\\\").replace("'", "\\'") for phrase in rule.phrases]
     return " AND ".join(f"contains(lower({text}), '{phrase}')" for phrase in quoted)
+
+
+def row_digest(columns: list[str]) -> str:
+    """Digest of a whole row of text columns, in which NULL differs from empty."""
+    marked = ", ".join(f"coalesce({column}, '~')" for column in columns)
+    return f"md5(concat_ws('|', {marked}))"

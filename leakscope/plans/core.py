@@ -16,7 +16,7 @@ from leakscope.functions.dates import parse_date, parse_datetime
 from leakscope.functions.money import parse_money
 from leakscope.functions.text import (
     canon_key, clean_text, clean_upper, key_number, norm_cost_type, norm_lob, norm_loss_state, norm_policy_state,
-    norm_status, parent_number,
+    norm_status, parent_number, row_digest,
 )
 from leakscope.operators.dedup import keep_one
 from leakscope.operators.keys import number_rows
@@ -84,7 +84,7 @@ def unique_claims(staged: DataFrame, key: KeyFormat = CLAIM_KEY) -> DataFrame:
         _adjuster_key=canon_key("trim(adjuster_ext_id)"),
         _claim_key=canon_key("trim(claim_number)"),
         # The reference keeps any of the copies; the digest makes it the same one every time.
-        _order=f"xxhash64({', '.join(schemas.STAGED['staged_claims'].fieldNames())})",
+        _order=row_digest(schemas.STAGED["staged_claims"].fieldNames()),
     )
     return keep_one(claims, ["_claim_key"], F.col("_order")).drop("_claim_key", "_order")
 
