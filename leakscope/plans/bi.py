@@ -110,7 +110,7 @@ def bi_leakage_flags(notes: DataFrame, claims: DataFrame) -> DataFrame:
     """Claims and incurred per kind of flag; a claim counts under each of its flags."""
     flags = [rule.flag for rule in config.DEFAULT_KEYWORDS]
     return (
-        clues.clue6_notes_flags(notes, claims)
+        clues.flagged_claims(notes, claims)
         .unpivot(["incurred"], flags, "flag", "raised")
         .where("raised = 1")
         .groupBy("flag")

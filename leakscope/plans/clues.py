@@ -239,7 +239,7 @@ def clue5_unreachable_adjusters(
     )
 
 
-def clue6_notes_flags(
+def flagged_claims(
     notes: DataFrame, claims: DataFrame, rules: tuple[KeywordRule, ...] = config.DEFAULT_KEYWORDS
 ) -> DataFrame:
     """Claims with a note that raises a flag. Phrases of a rule must share a note.
@@ -247,20 +247,24 @@ def clue6_notes_flags(
     Notes without any flag cannot matter and stop at the scan.
     """
     flags = [rule.flag for rule in rules]
-    marked = notes.select("claim_id", *[F.expr(has_phrases("note_text", rule)).alias(rule.flag) for rule in rules])
-    any_flag = F.greatest(*[F.col(flag) for flag in flags]) if len(flags) > 1 else F.col(flags[0])
+    marked = notes.selectExpr("claim_id", *[f"{has_phrases('note_text', rule)} AS {rule.flag}" for rule in rules])
     per_claim = (
-        marked.where(any_flag)
+        marked.where(" OR ".join(flags))
         .groupBy("claim_id")
         .agg(*[F.max(F.col(flag).cast("int")).alias(flag) for flag in flags])
     )
-    return (
-        per_claim.join(claims.select("claim_id", severity().alias("incurred")), "claim_id")
-        .select("claim_id", *flags, "incurred")
-        .orderBy(F.col("incurred").desc_nulls_last(), "claim_id")
+    return per_claim.join(claims.select("claim_id", severity().alias("incurred")), "claim_id").select(
+        "claim_id", *flags, "incurred"
     )
 
 
+def clue6_notes_flags(
+    notes: DataFrame, claims: DataFrame, rules: tuple[KeywordRule, ...] = config.DEFAULT_KEYWORDS
+) -> DataFrame:
+    """Claims with red flags in their notes, the costliest first."""
+    return flagged_claims(notes, claims, rules).orderBy(F.col("incurred").desc_nulls_last(), "claim_id")
+
+
 def clue7_executive_rollup(policies: DataFrame, claims: DataFrame, with_grouping_id: bool = False) -> DataFrame:
     """Incurred by line, state and day with state, line and grand totals.
 

@@ -63,38 +63,43 @@ def qc_money_nulls(claims: DataFrame, n: int | None = 20) -> DataFrame:
     return missing if n is None else missing.orderBy("claim_number").limit(n)
 
 
-def qc_rejected_rows(staged: Mapping[str, DataFrame], core: dict[str, DataFrame]) -> DataFrame:
-    """How many staged rows each load left out, by reason.
+def qc_rejected_rows(staged: Mapping[str, DataFrame], core: Mapping[str, DataFrame]) -> DataFrame:
+    """How many staged rows each load left out, by reason, in one pass per table.
 
     A claim without policy and adjuster counts under both reasons.
     """
-    claims = unique_claims(staged["staged_claims"])
-    all_claims = staged["staged_claims"].agg(F.count(F.lit(1)).alias("rows"), F.lit(0).cast("bigint").alias("kept"))
-    kept_claims = claims.agg(F.lit(0).cast("bigint").alias("rows"), F.count(F.lit(1)).alias("kept"))
+    def known(keys: DataFrame, flag: str) -> DataFrame:
+        return keys.distinct().withColumn(flag, F.lit(True))
+
+    policy_keys = core["core_policies"].selectExpr(f"{canon_key('policy_number')} AS _policy_key")
+    adjuster_keys = core["core_adjuster"].selectExpr(f"{canon_key('adjuster_ext_id')} AS _adjuster_key")
+    claim_ids = known(core["core_claims"].select("claim_id"), "_claim")
+    unknown_claim = F.col("_claim").isNull()
+
+    claims = (
+        unique_claims(staged["staged_claims"])
+        .join(known(policy_keys, "_policy"), "_policy_key", "left")
+        .join(known(adjuster_keys, "_adjuster"), "_adjuster_key", "left")
+    )
     repeated = (
-        all_claims.unionByName(kept_claims)
-        .agg((F.sum("rows") - F.sum("kept")).alias("cnt"))
+        staged["staged_claims"].select(F.lit(1).alias("_sign"))
+        .unionByName(unique_claims(staged["staged_claims"]).select(F.lit(-1).alias("_sign")))
+        .agg(F.coalesce(F.sum("_sign"), F.lit(0)).alias("cnt"))
         .select(F.lit("claims_repeated").alias("issue"), "cnt")
     )
-    policy_keys = core["core_policies"].select(F.expr(canon_key("policy_number")).alias("_policy_key"))
-    adjuster_keys = core["core_adjuster"].select(F.expr(canon_key("adjuster_ext_id")).alias("_adjuster_key"))
-    known = core["core_claims"].select("claim_id")
-    payments = staged["staged_payments"].select(
-        F.expr(parent_number("claim_number", CLAIM_KEY)).alias("claim_id")
-    )
-    notes = staged["staged_notes"].select(
-        F.expr(parent_number("claim_number", CLAIM_KEY)).alias("claim_id"), "note_text"
-    )
-    unreadable = conform_payments(staged["staged_payments"]).where(~is_readable())
+    payments = conform_payments(staged["staged_payments"]).join(claim_ids, "claim_id", "left")
+    notes = staged["staged_notes"].selectExpr(
+        f"{parent_number('claim_number', CLAIM_KEY)} AS claim_id", "note_text IS NULL AS _empty"
+    ).join(claim_ids, "claim_id", "left")
     return _union(
         [
             repeated,
-            _count_as(claims.join(policy_keys, "_policy_key", "left_anti"), "claims_unknown_policy"),
-            _count_as(claims.join(adjuster_keys, "_adjuster_key", "left_anti"), "claims_unknown_adjuster"),
-            _count_as(payments.join(known, "claim_id", "left_anti"), "payments_unknown_claim"),
-            _count_as(unreadable, "payments_unreadable"),
-            _count_as(notes.join(known, "claim_id", "left_anti"), "notes_unknown_claim"),
-            _count_as(notes.where(F.col("note_text").isNull()), "notes_without_text"),
+            _issues(claims, {
+                "claims_unknown_policy": F.col("_policy").isNull(),
+                "claims_unknown_adjuster": F.col("_adjuster").isNull(),
+            }),
+            _issues(payments, {"payments_unknown_claim": unknown_claim, "payments_unreadable": ~is_readable()}),
+            _issues(notes, {"notes_unknown_claim": unknown_claim, "notes_without_text": F.col("_empty")}),
         ]
     )
 

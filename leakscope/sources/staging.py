@@ -27,14 +27,19 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.TEST_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
+# Most splits a table may have to be spread before it is cleaned.
+_FEW_SPLITS = 4
+
+
 def _spread(table: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores when the files have fewer splits than there are cores.
+    """Rows of a tiny table over all cores.
 
-    A small file with a single row group would be cleaned by one task. Large
-    tables are read as they lie.
+    A small file with a single row group would be cleaned by one task. Tables of
+    more than a few splits are read as they lie.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table
+    splits = table.rdd.getNumPartitions()
+    return table.repartition(cores, *keys) if splits <= _FEW_SPLITS and splits < cores else table
 
 
 def _by_step(number: str, values: dict[int, str], otherwise: str) -> str:
