@@ -1,42 +1,64 @@
-"""Walk down a parent-child table from its roots."""
+"""Paths and depths in a parent-child table, from the roots down."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leakscope.sources.storage import cut
 
+_HOPS = 4  # by which factor the resolved depth grows per round
+
+
+def _climb(state: DataFrame, node: str, separator: str) -> DataFrame:
+    """Every open row takes over the path of the row it points to."""
+    above = state.select(
+        F.col(node).alias("_at"), F.col("_next").alias("_above"), F.col("depth").alias("_hops"),
+        F.col("Path").alias("_path"),
+    )
+    climbed = (
+        state.where("_next IS NOT NULL")
+        .join(above, F.col("_next") == F.col("_at"))
+        .withColumns({
+            "_next": F.col("_above"),
+            "depth": F.col("depth") + F.col("_hops"),
+            "Path": F.concat("_path", F.lit(separator), "Path"),
+        })
+        .select(*state.columns)
+    )
+    return state.where("_next IS NULL").unionByName(climbed)
+
 
-def walk_down(
+def paths_from_roots(
     nodes: DataFrame, node: str, parent: str, label: str, max_depth: int, separator: str = "->"
 ) -> DataFrame:
     """Nodes reachable from those without a parent, with ``depth`` and ``Path``.
 
-    One distributed join per level. Every level is written to the shared folder
-    and read back, so plans stay small and a lost executor does not restart the
-    walk. A node has one parent, so a cycle can never be reached from a root.
+    Each row points to an ancestor and knows the path from there. A round lets
+    all rows take over their ancestor's pointer and path twice, so after round k
+    everything down to depth 4^k - 1 is resolved; a hierarchy of depth 100 takes
+    four rounds of distributed joins. Every round is written to the shared
+    folder, so plans stay small and a lost executor does not restart the walk.
+    Rows in a cycle, or below one, never reach a root. As depths have no gaps,
+    the walk is over when the deepest resolved row is not at the limit of its round.
     Raises when there are more than ``max_depth`` levels below the roots.
     """
-    tree = cut(nodes.select(node, label, parent), "tree")
-    level = cut(
-        tree.where(F.col(parent).isNull()).withColumns({"depth": F.lit(0), "Path": F.col(label)}), "tree-level"
+    state = cut(
+        nodes.select(
+            node, label, parent,
+            F.col(parent).alias("_next"),
+            F.when(F.col(parent).isNull(), 0).otherwise(1).alias("depth"),
+            F.col(label).alias("Path"),
+        ),
+        "tree",
     )
-    levels = [level]
+    resolved = 1
     while True:
-        above = level.select(F.col(node).alias("_above"), F.col("Path").alias("_path"))
-        level = cut(
-            tree.join(above, F.col(parent) == F.col("_above")).select(
-                node, label, parent,
-                F.lit(len(levels)).alias("depth"),
-                F.concat("_path", F.lit(separator), label).alias("Path"),
-            ),
-            "tree-level",
-        )
-        if level.isEmpty():
-            return reduce(DataFrame.unionByName, levels)
-        if len(levels) > max_depth:
+        resolved *= _HOPS
+        state = cut(_climb(_climb(state, node, separator), node, separator), "tree-round")
+        reached = state.where("_next IS NULL")
+        deepest = reached.agg(F.max("depth")).first()[0]
+        if deepest is not None and deepest > max_depth:
             raise ValueError(f"the hierarchy is deeper than {max_depth} levels")
-        levels.append(level)
+        if deepest is None or deepest < resolved - 1:
+            return reached.drop("_next")

@@ -18,7 +18,7 @@ from leakscope.functions.dates import quarter_start
 from leakscope.functions.money import from_micro, micro_avg, relative_change, truncated_avg
 from leakscope.functions.text import has_phrases
 from leakscope.operators.copies import expand_copies
-from leakscope.operators.hierarchy import walk_down
+from leakscope.operators.hierarchy import paths_from_roots
 from leakscope.operators.quantiles import join_null_safe, quantiles_of_counts, value_counts
 from leakscope.plans.core import is_readable
 from leakscope.sources.storage import cut
@@ -178,7 +178,7 @@ def claims_per_adjuster(claims: DataFrame) -> DataFrame:
 
 
 def adjuster_tree(adjusters: DataFrame, max_depth: int = config.MAX_HIERARCHY_DEPTH) -> DataFrame:
-    return walk_down(adjusters, "adjuster_id", "supervisor_id", "full_name", max_depth)
+    return paths_from_roots(adjusters, "adjuster_id", "supervisor_id", "full_name", max_depth)
 
 
 def _tree_with_claims(adjusters: DataFrame, claims: DataFrame, max_depth: int) -> DataFrame:
