@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakscope.sources.storage import cut
@@ -10,9 +10,13 @@ from leakscope.sources.storage import cut
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
 
-def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
+def number_rows(df: DataFrame, order: list[str], name: str, kept: Column | None = None) -> DataFrame:
     """Adds ``name``: 1, 2, 3, … in the total order of ``order`` (NULLs first).
 
+    Only rows that meet ``kept`` are numbered and returned. The condition is
+    applied to the stored rows, so it is not pushed below the work that computes
+    its columns, which would do that work twice.
+
     ``order`` names all columns, so rows that tie are equal and any numbering
     among them is the same result. The sort is Spark's distributed range sort; the
     position in the stored scan breaks ties, so even a value that fills a third of
@@ -21,6 +25,8 @@ def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
     table with one row per partition.
     """
     stored = cut(df, f"{name}-rows")
+    if kept is not None:
+        stored = stored.where(kept)
     place = F.monotonically_increasing_id()
     ordered = (
         stored.withColumn("_scan", place)

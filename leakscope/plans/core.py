@@ -144,8 +144,8 @@ def resolved_payments(staged: DataFrame, claims: DataFrame) -> DataFrame:
 
 
 def core_payments(staged: DataFrame, claims: DataFrame) -> DataFrame:
-    payments = resolved_payments(staged, claims).select(*_columns("core_payments")[1:])
-    return number_rows(payments, payments.columns, "payment_id")
+    payments = known_claims_only(conform_payments(staged), claims).select(*_columns("core_payments")[1:])
+    return number_rows(payments, payments.columns, "payment_id", kept=is_readable())
 
 
 def conform_notes(staged: DataFrame, key: KeyFormat = CLAIM_KEY) -> DataFrame:
