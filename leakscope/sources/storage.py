@@ -8,6 +8,7 @@ one task and adaptive execution could not split it.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -31,11 +32,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    import tempfile
-
-    own = tempfile.mkdtemp(prefix="leakscope-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="leakscope-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:
