@@ -6,15 +6,16 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import difference
+from checks.duck_sql import statements
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(statements()))
 def test_equals_sql(spark, duck, small, name):
     assert difference(spark, duck, small, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry._JOBS) == set(statements())
 
 
 def test_entry(spark):
