@@ -75,8 +75,33 @@ UNION ALL
 SELECT doc_id, size, source_size, target, 0 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source WHERE size = 0
 """
 
+_CHAT = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+           UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+k AS (SELECT *, length(regexp_replace(text, '%|<\|', '\0##', 'g')) AS own,
+             len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 1 AS tokens FROM c),
+o AS (SELECT *, row_number() OVER w AS place, sum(tokens) OVER w - tokens AS before
+      FROM k WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT *, place = 1 AND role = 'system' AS is_system FROM o),
+g AS (SELECT *, greatest((896 - sum(CASE WHEN is_system THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id)) // 2, 1)
+                AS step FROM s),
+t AS (SELECT *, before // step AS span, 2 + length(regexp_replace(replace(role, chr(10), '   '),
+                '%25|%|<\||\|>', '\0##', 'g')) + 3 + 8 AS mark FROM g),
+v AS (SELECT conv_id, span, min(before) AS start FROM t GROUP BY ALL),
+f AS (SELECT t.conv_id, sum(own + mark) AS formatted_chars FROM t JOIN v ON v.conv_id = t.conv_id
+      AND (v.span = t.span OR v.span > t.span AND (is_system OR start - before <= 128)) GROUP BY 1),
+a AS (SELECT conv_id, count(*) AS n_turns,
+             sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+             coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY place), '') AS learned
+      FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars FROM a JOIN f USING (conv_id)
+"""
+
 SQL: dict[str, str] = {
     "op3_jaccard_join": _JACCARD,
     "op5_source_mix": _MIX,
     "op6_decontamination": _WINDOWS,
+    "op8_chat_format": _CHAT,
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leakscope.llm import decontamination, jaccard_join, language_id, line_dedup, mixing, oracles
+from leakscope.llm import (
+    chat_format, decontamination, jaccard_join, language_id, line_dedup, mixing, oracles, order_minhash,
+)
 from leakscope.llm.common import fold, table
 
 
@@ -19,6 +21,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.edit_likeness(table(spark, folder, "documents"))
+
+
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents"), k=4, percent=85)
 
@@ -34,6 +40,14 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = F.lit("</s>[INST] ok [/INST]")
+    added = [spark.range(1).select(F.lit(-1).alias("conv_id"), F.lit(i).alias("turn"), F.lit(role).alias("role"),
+                                   control.alias("text")) for i, role in enumerate(("user", "assistant"))]
+    return chat_format.digests(chat_format.windows(given.unionByName(added[0]).unionByName(added[1])))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.line_dedup(docs).select(
@@ -49,7 +63,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_language_id, op3_jaccard_join, op5_source_mix, op6_decontamination, op9_line_dedup, pipeline)
+    for query in (op1_language_id, op2_order_minhash, op3_jaccard_join, op5_source_mix, op6_decontamination,
+                  op8_chat_format, op9_line_dedup, pipeline)
 }
 
 ORACLES: dict[str, str] = oracles.SQL
