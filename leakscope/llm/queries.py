@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leakscope.llm import (
-    chat_format, decontamination, jaccard_join, language_id, line_dedup, mixing, oracles, order_minhash,
+    chat_format, decontamination, jaccard_join, language_id, lattice_lm, line_dedup, mixing, oracles, order_minhash,
+    pseudonyms, toxicity,
 )
 from leakscope.llm.common import fold, table
 
@@ -29,6 +30,12 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents"), k=4, percent=85)
 
 
+def op4_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counts = [F.coalesce(F.col("__found")[kind], F.lit(0)).alias(f"n_{kind}") for kind in pseudonyms.KINDS]
+    return pseudonyms.pseudonymise(docs).select("doc_id", "text", *counts)
+
+
 def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -40,6 +47,14 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 3) == 1
+    labels = table(spark, folder, "labels").select("doc_id", "toxic").where(~held_out)
+    found = toxicity.toxicity(table(spark, folder, "documents").select("doc_id", "text"), labels)
+    return found.select("doc_id", held_out.alias("held_out"), "score",
+                        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     control = F.lit("</s>[INST] ok [/INST]")
@@ -55,6 +70,14 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op10_lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 5) == 1
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = lattice_lm.lm_scores(docs, ~held_out, lattice_lm.load_pieces())
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                        "score")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -63,8 +86,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_language_id, op2_order_minhash, op3_jaccard_join, op5_source_mix, op6_decontamination,
-                  op8_chat_format, op9_line_dedup, pipeline)
+    for query in (op1_language_id, op2_order_minhash, op3_jaccard_join, op4_pseudonyms, op5_source_mix,
+                  op6_decontamination, op7_toxicity, op8_chat_format, op9_line_dedup, op10_lattice_lm, pipeline)
 }
 
 ORACLES: dict[str, str] = oracles.SQL
