@@ -100,8 +100,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def following(docs: DataFrame) -> DataFrame:
-    """(doc_id, next_id, want): the next greater id of each id, after the last the first; want is the largest quarter
-    of a text of that id, in code points. Ids are dealt by range, written once and chained within the ranges."""
+    """(key, doc_id, next_key, want) of each id, which key names as text: the next greater id, after the last the
+    first; want is the largest quarter of a text of that id, in code points. Ids are dealt by range, written once and
+    chained within the ranges."""
     ids = docs.groupBy("doc_id").agg(F.max(F.floor(F.coalesce(F.char_length("text"), F.lit(0)) / 4)).alias("want"))
     ranged = cut(ids.repartitionByRange("doc_id").withColumn("part", F.spark_partition_id()), "ids")
     whole = Window.orderBy("part")
@@ -111,34 +112,39 @@ def following(docs: DataFrame) -> DataFrame:
             whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
     inside = Window.partitionBy("part").orderBy("doc_id")
     chained = ranged.join(F.broadcast(parts), "part")  # as many rows as there are partitions
-    return chained.select("doc_id", "want", F.coalesce(F.lead(F.struct("doc_id")).over(inside), F.col("after"))
-                          .getField("doc_id").alias("next_id"))
+    return chained.select(
+        _key(F.col("doc_id")).alias("key"), "doc_id", "want",
+        _key(F.coalesce(F.lead(F.struct("doc_id")).over(inside), F.col("after")).getField("doc_id")).alias("next_key"))
+
+
+def _key(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("string"), F.lit("null"))
 
 
 def edit_likeness(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, whose last quarter is the start of the next document.
 
     Rows with the same doc_id have the same next document; of several rows with the next id the least text counts.
+    Both joins with the texts take the same columns by the same key, so the texts are shuffled once.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select(_key(F.col("doc_id")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     chain = following(docs)
-    dealt = texts.repartition("doc_id")
-    back = chain.select(F.col("next_id").alias("id"), F.col("doc_id").alias("to_id"), "want")
-    starts = (dealt.join(back, dealt["doc_id"].eqNullSafe(back["id"]))
-              .select("to_id", F.expr("substring(text, 1, cast(want as int))").alias("start"))
-              .groupBy("to_id").agg(F.min("start").alias("start")))
-    ahead = chain.select(F.col("doc_id").alias("own_id"), "next_id")
+    back = chain.select(F.col("next_key").alias("key"), F.col("key").alias("to_key"), "want")
+    starts = (texts.join(back, "key")
+              .select("to_key", F.expr("substring(text, 1, cast(want as int))").alias("start"))
+              .groupBy("to_key").agg(F.min("start").alias("start")))
     n = F.char_length("text")
     kept, taken = (n - F.floor(n / 4)).cast("int"), F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), kept), F.substring("start", F.lit(1), taken))
-    both = (dealt.join(starts, dealt["doc_id"].eqNullSafe(starts["to_id"]))
-            .select("doc_id", n.cast("bigint").alias("n_chars"), "text", edited.alias("edited"))
-            .select("doc_id", "n_chars", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("sha"),
+    both = (texts.join(starts.withColumnRenamed("to_key", "key"), "key")
+            .select("key", n.cast("bigint").alias("n_chars"), "text", edited.alias("edited"))
+            .select("key", "n_chars", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("sha"),
                     fingerprint(F.col("text")).alias("prints"), fingerprint(F.col("edited")).alias("edited_prints")))
     rows = cut(both, "fingerprints")
-    nexts = rows.groupBy("doc_id").agg(F.min("prints").alias("next_prints")).withColumnRenamed("doc_id", "id")
-    by_id = ahead.join(nexts, ahead["next_id"].eqNullSafe(nexts["id"])).select("own_id", "next_prints")
-    return (rows.join(by_id, rows["doc_id"].eqNullSafe(by_id["own_id"]))
+    nexts = rows.groupBy("key").agg(F.min("prints").alias("next_prints"))
+    ahead = (chain.select(F.col("next_key").alias("key"), F.col("key").alias("own"), "doc_id")
+             .join(nexts, "key").drop("key").withColumnRenamed("own", "key"))
+    return (rows.join(ahead, "key")
             .select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"),
                     as_text(F.col("prints")).alias("fingerprint"),
                     as_text(F.col("edited_prints")).alias("edited_fingerprint"),
