@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Most copies one row yields inside one task.
+# Most copies one row yields before its chunks are dealt over the tasks.
 CHUNK = 65_536
 
 
@@ -17,18 +17,12 @@ def append_copies(df: DataFrame, wanted: str) -> DataFrame:
 def expand_copies(df: DataFrame, copies: str, number: str = "_copy") -> DataFrame:
     """Each row ``copies`` times, with a running ``number`` in place of ``copies``.
 
-    Rows with up to ``CHUNK`` copies are expanded where they are. A row with
-    more is first cut into chunks that are shuffled apart, so that no task and
-    no array ever holds all copies of a hot row. When there is no such row the
-    second branch is empty and adaptive execution drops it. The number makes
-    copies distinct, so that a sort on it last can split them as well.
+    Every row is first cut into chunks of up to ``CHUNK`` copies, which Spark
+    rebalances over the tasks, so that no task and no array ever holds all
+    copies of a hot row. The number makes copies distinct, so that a sort on it
+    last can split them as well.
     """
     kept = [column for column in df.columns if column != copies]
-    few = df.where(F.col(copies) <= CHUNK).select(*kept, F.expr(f"explode(sequence(1L, {copies}))").alias(number))
-    many = (
-        df.where(F.col(copies) > CHUNK)
-        .withColumn("_start", F.expr(f"explode(sequence(0L, {copies} - 1, {CHUNK}L))"))
-        .repartition("_start", *kept)
-        .select(*kept, F.expr(f"explode(sequence(_start + 1, least(_start + {CHUNK}, {copies})))").alias(number))
-    )
-    return few.unionByName(many)
+    chunks = df.withColumn("_start", F.expr(f"explode(sequence(0L, {copies} - 1, {CHUNK}L))")).hint("rebalance")
+    last = f"least(_start + {CHUNK}, {copies})"
+    return chunks.select(*kept, F.expr(f"explode(sequence(_start + 1, {last}))").alias(number))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakscope import config
@@ -89,13 +89,14 @@ def bi_adjuster_performance(adjusters: DataFrame, claims: DataFrame) -> DataFram
 def bi_office_performance(adjusters: DataFrame, claims: DataFrame) -> DataFrame:
     """Adjusters, claims, severity and workload share per office."""
     measured = clues.claims_per_adjuster(claims)
-    whole = measured.agg(F.sum("_claims")).scalar()
     offices = adjusters.join(measured, "adjuster_id", "left").groupBy("office").agg(
         F.count(F.lit(1)).alias("adjusters"),
         F.coalesce(F.sum("_claims"), F.lit(0)).alias("claim_count"),
         F.sum("_total").alias("_total"),
         F.sum("_valued").alias("_valued"),
     )
+    # Every claim has a known adjuster, so the offices add up to all claims; a row per office is summed here.
+    whole = F.nullif(F.sum("claim_count").over(Window.partitionBy()), F.lit(0))
     return offices.select(
         "office", "adjusters", "claim_count",
         truncated_avg(F.col("_total"), F.col("_valued")).alias("avg_severity"),

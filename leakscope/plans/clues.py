@@ -16,14 +16,14 @@ from leakscope import config
 from leakscope.config import KeywordRule, first_day_not_before, years_before
 from leakscope.functions.dates import quarter_start
 from leakscope.functions.money import from_micro, micro_avg, relative_change, truncated_avg
-from leakscope.functions.text import has_phrases
+from leakscope.functions.text import canon_key, has_phrases
 from leakscope.operators.copies import expand_copies
 from leakscope.operators.hierarchy import paths_from_roots
 from leakscope.operators.quantiles import join_null_safe, quantiles_of_counts, value_counts
 from leakscope.plans.core import is_readable
 from leakscope.sources.storage import cut
 
-DUPLICATE_KEY = ["claim_id", "payment_date", "cost_type", "amount", "check_number"]
+DUPLICATE_KEY = ["claim_id", "payment_date", "_cost_type", "amount", "_check_number"]
 
 
 def severity() -> Column:
@@ -130,10 +130,16 @@ def clue2_reserve_flags(
 def duplicate_groups(payments: DataFrame) -> DataFrame:
     """Payments equal in claim, date, cost type, amount and check, where there are several.
 
-    NULLs count as equal. Counted before the shuffle as well, and only groups of
-    two or more go on.
+    NULLs count as equal, and so do letter cases and trailing blanks; a group
+    shows its least spelling. Counted before the shuffle as well, and only
+    groups of two or more go on.
     """
-    return payments.groupBy(*DUPLICATE_KEY).agg(F.count_if(is_readable()).alias("dup_count")).where("dup_count > 1")
+    spelled = payments.withColumns({f"_{c}": F.expr(canon_key(c)) for c in ("cost_type", "check_number")})
+    groups = spelled.groupBy(*DUPLICATE_KEY).agg(
+        F.count_if(is_readable()).alias("dup_count"),
+        # Rows that are not counted don't lend the group their spelling either.
+        *[F.min(F.when(is_readable(), F.col(c))).alias(c) for c in ("cost_type", "check_number")])
+    return groups.where("dup_count > 1").drop("_cost_type", "_check_number")
 
 
 def clue3_duplicate_payments(claims: DataFrame, payments: DataFrame) -> DataFrame:
@@ -150,17 +156,20 @@ def clue4_vendor_outliers(payments: DataFrame, k: float = config.IQR_FACTOR, sid
 
     Works on distinct (vendor, amount) with their number of payments. They are
     written once and read three times, so the payments are cleaned and shuffled
-    only once.
+    only once. Spellings that differ in letter case are one vendor, and each
+    payment shows its own.
     """
     counts = cut(value_counts(payments, ["vendor_id"], "amount", is_readable()), "vendor-amounts")
-    quartiles = quantiles_of_counts(counts, ["vendor_id"], "amount", 2, {"q1": 0.25, "q3": 0.75})
+    counts = counts.withColumn("_vendor", F.expr(canon_key("vendor_id")))
+    of_vendor = counts.groupBy("_vendor", "amount").agg(F.sum("copies").alias("copies"))
+    quartiles = quantiles_of_counts(of_vendor, ["_vendor"], "amount", 2, {"q1": 0.25, "q3": 0.75})
     amount, spread = F.col("amount").cast("double"), F.col("q3") - F.col("q1")
     outside = {
         "high": amount > F.col("q3") + spread * k,
         "low": amount < F.col("q1") - spread * k,
     }
     wanted = outside["high"] | outside["low"] if side == "both" else outside[side]
-    outliers = join_null_safe(counts, quartiles, ["vendor_id"]).where(wanted)
+    outliers = join_null_safe(counts, quartiles, ["_vendor"]).drop("_vendor").where(wanted)
     return (
         expand_copies(outliers, "copies", "_copy")
         .orderBy(F.col("amount").desc(), "vendor_id", "_copy")

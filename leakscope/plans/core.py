@@ -22,7 +22,7 @@ from leakscope.operators.dedup import keep_one
 from leakscope.operators.keys import number_rows
 from leakscope.operators.project import project
 from leakscope.sources import schemas
-from leakscope.sources.storage import write_stored
+from leakscope.sources.storage import temporary_cuts, write_stored
 
 
 def _columns(table: str) -> list[str]:
@@ -188,20 +188,45 @@ def build_core(staged: Mapping[str, DataFrame], numbered: bool = True) -> dict[s
     }
 
 
+def demand_keys(staged: Mapping[str, DataFrame], shown: int = 5) -> None:
+    """Raises ValueError with some of the keys if a policy or adjuster number is
+    repeated, or if two claim numbers would get the same claim_id."""
+    def repeated(table: str, key: str, number: str, same: str) -> list[str]:
+        keys = project(staged[table].where(f"{key} IS NOT NULL"), _key=canon_key(f"trim({key})"), _number=number)
+        groups = keys.groupBy(same).agg(F.count(F.lit(1)).alias("_rows"), F.min("_key").alias("_least"),
+                                        F.max("_key").alias("_most"))
+        wrong = groups.where("_least <> _most" if same == "_number" else "_rows > 1")
+        return [f"{table}.{key} {row['_least']}" for row in wrong.orderBy("_least").limit(shown).collect()]
+
+    wrong = [
+        *repeated("staged_policies", "policy_number", key_number("policy_number", POLICY_KEY), "_key"),
+        *repeated("staged_policies", "policy_number", key_number("policy_number", POLICY_KEY), "_number"),
+        *repeated("staged_adjuster", "adjuster_ext_id", key_number("adjuster_ext_id", ADJUSTER_KEY), "_key"),
+        *repeated("staged_adjuster", "adjuster_ext_id", key_number("adjuster_ext_id", ADJUSTER_KEY), "_number"),
+        *repeated("staged_claims", "claim_number", key_number("claim_number", CLAIM_KEY), "_number"),
+    ]
+    if wrong:
+        raise ValueError("keys are not unique, nothing was loaded: " + "; ".join(wrong))
+
+
 def load_core(staged: Mapping[str, DataFrame], base: str) -> dict[str, DataFrame]:
     """Full refresh of the stored core tables under ``base``; returns the stored tables.
 
     Parents are stored first and children are resolved against what was stored,
-    so no table is cleaned twice.
+    so no table is cleaned twice. Keys are checked before anything is replaced, as
+    a repeated one would multiply claims; intermediate tables are deleted at the end.
     """
+    demand_keys(staged)
+    spark = staged["staged_policies"].sparkSession
     stored: dict[str, DataFrame] = {}
 
     def store(name: str, table: DataFrame) -> None:
         stored[name] = write_stored(table, base, "core", name)
 
-    store("core_policies", core_policies(staged["staged_policies"]))
-    store("core_adjuster", core_adjuster(staged["staged_adjuster"]))
-    store("core_claims", core_claims(staged["staged_claims"], stored["core_policies"], stored["core_adjuster"]))
-    store("core_payments", core_payments(staged["staged_payments"], stored["core_claims"]))
-    store("core_notes", core_notes(staged["staged_notes"], stored["core_claims"]))
+    with temporary_cuts(spark):
+        store("core_policies", core_policies(staged["staged_policies"]))
+        store("core_adjuster", core_adjuster(staged["staged_adjuster"]))
+        store("core_claims", core_claims(staged["staged_claims"], stored["core_policies"], stored["core_adjuster"]))
+        store("core_payments", core_payments(staged["staged_payments"], stored["core_claims"]))
+        store("core_notes", core_notes(staged["staged_notes"], stored["core_claims"]))
     return stored

@@ -27,21 +27,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.TEST_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-# Most splits a table may have to be spread before it is cleaned.
-_FEW_SPLITS = 4
-
-
-def _spread(table: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a tiny table over all cores.
-
-    A small file with a single row group would be cleaned by one task. Tables of
-    more than a few splits are read as they lie.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    splits = table.rdd.getNumPartitions()
-    return table.repartition(cores, *keys) if splits <= _FEW_SPLITS and splits < cores else table
-
-
 def _by_step(number: str, values: dict[int, str], otherwise: str) -> str:
     """The value of the first step that divides the number."""
     cases = " ".join(f"WHEN {number} % {step} = 0 THEN {value}" for step, value in values.items())
@@ -198,12 +183,12 @@ class StagedTables(Mapping):
             case "staged_policies":
                 return stage_policies(self._read("customer"), self.as_of)
             case "staged_claims":
-                return stage_claims(_spread(self._read("orders"), "o_orderkey"), self._size("supplier"))
+                return stage_claims(self._read("orders"), self._size("supplier"))
             case "staged_payments":
-                lines = _spread(self._read("lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
+                lines = self._read("lineitem")
                 return stage_payments(lines)
             case "staged_adjuster":
                 return stage_adjuster(self._read("supplier"), self.as_of)
             case "staged_notes":
-                return stage_notes(_spread(self._read("events"), "event_id"), self._size("orders"))
+                return stage_notes(self._read("events"), self._size("orders"))
         raise KeyError(name)

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +38,23 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("_MADE", default=None)
+
+
+@contextmanager
+def temporary_cuts(spark: SparkSession) -> Iterator[None]:
+    """Deletes what :func:`cut` writes inside; nothing lazy that reads it may be used afterwards."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written table.
 
@@ -44,6 +63,9 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/leakscope/{label}-{uuid.uuid4().hex}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -77,6 +77,19 @@ def test_duplicates_group_missing_values_together(spark):
         ("CLM000000001", D(10), 3), ("CLM000000001", D(20), 2)]
 
 
+def test_letter_case_does_not_split_groups(spark):
+    claims = frames.claims(spark, {"claim_id": 1})
+    payments = frames.payments(
+        spark, {"claim_id": 1, "cost_type": "Medical", "check_number": "CHK1"},
+        {"claim_id": 1, "cost_type": "medical", "check_number": "chk1"})
+    rows = clues.clue3_duplicate_payments(claims, payments).collect()
+    assert [(r.cost_type, r.check_number, r.dup_count) for r in rows] == [("Medical", "CHK1", 2)]
+    payments = frames.payments(
+        spark, *[{"claim_id": 1, "vendor_id": "V1", "amount": D(100 + n)} for n in range(9)],
+        {"claim_id": 1, "vendor_id": "v1", "amount": D(104)}, {"claim_id": 1, "vendor_id": "v1", "amount": D(9999)})
+    assert [(r.vendor_id, r.amount) for r in clues.clue4_vendor_outliers(payments).collect()] == [("v1", D(9999))]
+
+
 def test_claim_with_two_duplicate_groups_has_two_rows(spark):
     claims = frames.claims(spark, {"claim_id": 1}, {"claim_id": 2, "reserve_total": D(301)})
     payments = frames.payments(

@@ -138,3 +138,20 @@ def test_comparison_finds_differences(spark, duck, small, monkeypatch):
     sql = entry.oracle_sql()
     monkeypatch.setattr(entry, "oracle_sql", lambda: {"core_policies": sql["core_policies"] + " LIMIT 149"})
     assert "150 rows instead of 149" in difference(spark, duck, small, "core_policies")
+
+
+def test_a_repeated_key_stops_the_load_before_anything_is_replaced(spark, small, tmp_path):
+    staged = staging.StagedTables(spark, small, AS_OF)
+    tables = {name: staged[name] for name in schemas.STAGED}
+    before = core.load_core(tables, str(tmp_path))["core_policies"].count()
+    again = tables["staged_policies"].limit(1).withColumn("policy_number", F.lower("policy_number"))
+    with pytest.raises(ValueError, match="staged_policies.policy_number POL"):
+        core.load_core({**tables, "staged_policies": tables["staged_policies"].unionByName(again)}, str(tmp_path))
+    assert storage.read_layer(spark, str(tmp_path), "core")["core_policies"].count() == before
+
+
+def test_a_load_leaves_no_intermediate_tables(spark, small, tmp_path):
+    folder = storage.shared_folder(spark).removeprefix("file:") + "/leakscope"
+    before = set(glob.glob(f"{folder}/*"))
+    core.load_core(staging.StagedTables(spark, small, AS_OF), str(tmp_path))
+    assert set(glob.glob(f"{folder}/*")) == before
