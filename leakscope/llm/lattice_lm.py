@@ -42,6 +42,7 @@ _MARK = "▁"
 _LONG = 48  # code points; longer words are spelled one by one and take no part in the fit
 _FLUSH = 1 << 18
 _TINY = -1e300
+_SLOT_BITS = 20
 _TOGETHER = 1 << 12  # words
 
 
@@ -87,46 +88,61 @@ def _step(state: np.ndarray, points: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _hash_table(names: list[str], first: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the pieces, and their numbers."""
-    keys = np.zeros(len(names), np.uint64)
-    for i, piece in enumerate(names):
-        for c in piece:
-            keys[i:i + 1] = _step(keys[i:i + 1], np.array([ord(c)]))
+def _hash_table(names: list[str], first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes of the pieces, their numbers, and whether any piece may begin with a string, by its hash's slot."""
+    keys, may_begin = np.zeros(len(names), np.uint64), np.zeros(1 << _SLOT_BITS, bool)
+    lengths = np.array([len(name) for name in names])
+    for n in np.unique(lengths[lengths > 0]).tolist():
+        at = np.flatnonzero(lengths == n)
+        points = np.frombuffer("".join([names[i] for i in at]).encode("utf-32-le"), np.uint32).reshape(len(at), n)
+        state = np.zeros(len(at), np.uint64)
+        for j in range(n):
+            state = _step(state, points[:, j])
+            may_begin[_slot(state)] = True
+        keys[at] = state
     order = np.argsort(keys)
-    return keys[order], order + first
+    return keys[order], order + first, may_begin
+
+
+def _slot(state: np.ndarray) -> np.ndarray:
+    return state >> np.uint64(64 - _SLOT_BITS)
 
 
 def _n_bytes(points: np.ndarray) -> np.ndarray:
     return 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
 
 
-def _arcs(points: np.ndarray, pieces: Pieces) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-    """From, to, piece and log weight of each possible piece of words of one length, the rows of ``points``. From -1
-    begins the word; piece 0 with a tiny weight is none. Bytes are the arcs of one code point from the list's end."""
+def _arcs(points: np.ndarray, pieces: Pieces) -> list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """From, to, rows of the words with such a piece, their pieces and log weights, for words of one length, the rows of
+    ``points``. From -1 begins the word. Bytes are the arcs of one code point from the list's end."""
     n_words, n = points.shape
     points = np.ascontiguousarray(points.T)
-    found, spelled = [], []
+    every, found = np.arange(n_words), []
     for i in range(-1, n):
-        keys, numbers = pieces.tables[0 if i < 0 else 1]
-        state, begin = np.zeros(n_words, np.uint64), max(i, 0)
+        keys, numbers, may_begin = pieces.tables[0 if i < 0 else 1]
+        rows, state, begin = every, np.zeros(n_words, np.uint64), max(i, 0)
+        if i >= 0:
+            found.append((i, i + 1, every, np.full(n_words, len(pieces.log) - 1),
+                          pieces.log[-1] * _n_bytes(points[i])))
         for j in range(begin + 1, min(n, begin + pieces.longest) + 1):
-            state = _step(state, points[j - 1])
+            state = _step(state, points[j - 1][rows])
+            alive = may_begin[_slot(state)]
+            rows, state = rows[alive], state[alive]
+            if not len(rows):
+                break
             at = np.minimum(np.searchsorted(keys, state), len(keys) - 1)
-            number = numbers[at]
             hit = keys[at] == state
             if hit.any():
-                found.append((i, j, np.where(hit, number, 0), np.where(hit, pieces.log[number], _TINY)))
-        if i >= 0:
-            spelled.append((i, i + 1, np.full(n_words, len(pieces.log) - 1), pieces.log[-1] * _n_bytes(points[i])))
-    return sorted(found + spelled, key=lambda arc: (arc[0], arc[1]))
+                number = numbers[at[hit]]
+                found.append((i, j, rows[hit], number, pieces.log[number]))
+    return found
 
 
 def _forward(n_words: int, n: int, arcs: list, pieces: Pieces) -> np.ndarray:
     alpha = np.full((n + 1, n_words), _TINY)
     alpha[0] = pieces.arc("", True)
-    for i, j, _, score in arcs:
-        alpha[j] = np.logaddexp(alpha[j], score if i < 0 else alpha[i] + score)
+    for i, j, rows, _, score in arcs:
+        alpha[j, rows] = np.logaddexp(alpha[j, rows], score if i < 0 else alpha[i, rows] + score)
     return alpha
 
 
@@ -178,13 +194,17 @@ def expected(words: list[str], counts: np.ndarray, pieces: Pieces) -> np.ndarray
         alpha = _forward(len(at), n, arcs, pieces)
         beta = np.full((n + 1, len(at)), _TINY)
         beta[n] = 0
-        for i, j, number, score in reversed(arcs):
-            share = np.exp(np.minimum((0 if i < 0 else alpha[i]) + score + beta[j] - alpha[n], 0)) * weight
-            if number[0] == len(total) - 1 and (number == number[0]).all():
+        numbers, shares = [], []
+        for i, j, rows, number, score in reversed(arcs):
+            ahead = score + beta[j, rows]
+            share = np.exp(np.minimum((0 if i < 0 else alpha[i, rows]) + ahead - alpha[n, rows], 0)) * weight[rows]
+            if number[0] == len(total) - 1:
                 share = share * _n_bytes(points[:, i])
-            total += np.bincount(number, share, len(total))
+            numbers.append(number)
+            shares.append(share)
             if i >= 0:
-                beta[i] = np.logaddexp(beta[i], score + beta[j])
+                beta[i, rows] = np.logaddexp(beta[i, rows], ahead)
+        total += np.bincount(np.concatenate(numbers), np.concatenate(shares), len(total))
         total[mark] += (np.exp(np.minimum(alpha[0] + beta[0] - alpha[n], 0)) * weight).sum()
     return total
 
