@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -245,21 +246,19 @@ def word_counts(docs: DataFrame, learned: Column) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trained, rest = Counter(), Counter()
 
-        def flush() -> pa.RecordBatch:
-            words = list({**trained, **rest})
-            return pa.record_batch([pa.array(words, pa.binary()).cast(pa.string()),
-                                    pa.array([trained[w] for w in words], pa.int64()),
-                                    pa.array([trained[w] + rest[w] for w in words], pa.int64())],
-                                   names=["word", "c", "uses"])
+        def flush() -> Iterator[pa.RecordBatch]:
+            for counted, learn in (trained, 1), (rest, 0):
+                uses = np.fromiter(counted.values(), np.int64, len(counted))
+                yield pa.record_batch([pa.array(list(counted), pa.binary()).cast(pa.string()),
+                                       pa.array(uses * learn), pa.array(uses)], names=["word", "c", "uses"])
+                counted.clear()
 
         for batch in batches:
             for text, learn in zip(batch.column(0), batch.column(1).to_pylist()):
                 (trained if learn else rest).update(_words(text))
                 if len(trained) + len(rest) > _FLUSH:
-                    yield flush()
-                    trained.clear()
-                    rest.clear()
-        yield flush()
+                    yield from flush()
+        yield from flush()
 
     return (docs.select("text", learned.alias("learned")).mapInArrow(read, "word string, c bigint, uses bigint")
             .groupBy("word").agg(F.sum("c").alias("c"), F.sum("uses").alias("uses")))
@@ -302,13 +301,14 @@ def lm_scores(docs: DataFrame, learned: Column, pieces: Pieces, frequent: int =
     scored = words.select("word", "uses", (c > 0).cast("bigint").alias("known"), base.alias("base"),
                           (score / F.lit(float(np.log(10)))).alias("score"))
     common = scored.orderBy(F.desc("uses"), "word").limit(frequent).toArrow()
-    table = {w: x for w, *x in zip([w.encode() for w in common["word"].to_pylist()], common["known"].to_pylist(),
-                                   common["base"].to_pylist(), common["score"].to_pylist())}
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    places = {word.encode(): i for i, word in enumerate(common["word"].to_pylist())}
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (places, *[common[name].to_numpy() for name in ("known", "base", "score")]))
     end_base = float(np.log10((ends + 0.5) * 2 * unknown))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_words, key = shared.value, TaskContext.get().partitionId() << 40
+        places, known, base, score = shared.value
+        key = TaskContext.get().partitionId() << 40
         names = ["key", "doc_id", "n_tokens", "n_known", "base", "score", "rare"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
                  pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))]
@@ -317,16 +317,14 @@ def lm_scores(docs: DataFrame, learned: Column, pieces: Pieces, frequent: int =
                 rows = [[] for _ in kinds]
                 part = batch.slice(first, 256)
                 for text in part.column(1):
-                    counted = Counter(_words(text))
-                    n_known, base_sum, score_sum, rare = int(ends > 0), end_base, end_score, []
-                    for word, times in counted.items():
-                        if (x := known_words.get(word)) is None:
-                            rare.append({"word": word.decode(), "n": times})
-                        else:
-                            n_known += x[0] * times
-                            base_sum += x[1] * times
-                            score_sum += x[2] * times
-                    for column, value in zip(rows, (key, counted.total() + 1, n_known, base_sum, score_sum, rare)):
+                    tokens = _words(text)
+                    at = np.fromiter(map(places.get, tokens, repeat(-1)), np.int64, len(tokens))
+                    rare = Counter([tokens[i] for i in np.flatnonzero(at < 0)])
+                    at = at[at >= 0]
+                    for column, value in zip(rows, (
+                            key, len(tokens) + 1, int(ends > 0) + int(known[at].sum()),
+                            end_base + float(base[at].sum()), end_score + float(score[at].sum()),
+                            [{"word": word.decode(), "n": times} for word, times in rare.items()])):
                         column.append(value)
                     key += 1
                 arrays = [pa.array(column, kind) for column, kind in zip(rows, kinds)]
