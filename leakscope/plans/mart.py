@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from leakscope import config
 from leakscope.operators.copies import expand_copies
 from leakscope.plans.clues import duplicate_groups, reserve_is_high, with_lob
+from leakscope.sources.storage import write_stored
 
 
 def mart_claim_risk_signals(
@@ -44,7 +46,15 @@ def mart_claim_risk_signals(
 
 
 def create_risk_view(claims: DataFrame, policies: DataFrame, payments: DataFrame, as_of: datetime) -> DataFrame:
-    """Registers the view ``claim_risk_signals``; each read evaluates it anew."""
+    """Registers the view ``claim_risk_signals`` of this session; each read evaluates it
+    anew on the files that the given tables had, so a new load needs a new view."""
     view = mart_claim_risk_signals(claims, policies, payments, as_of)
     view.createOrReplaceTempView("claim_risk_signals")
     return view
+
+
+def load_mart(tables: Mapping[str, DataFrame], base: str, as_of: datetime) -> dict[str, DataFrame]:
+    """Full refresh of the stored mart under ``base``, which any session can read, from
+    the stored core tables. It stays readable while core is loaded anew."""
+    signals = mart_claim_risk_signals(tables["core_claims"], tables["core_policies"], tables["core_payments"], as_of)
+    return {"claim_risk_signals": write_stored(signals, base, "mart", "claim_risk_signals")}

@@ -60,6 +60,14 @@ CORE = {
     "core_notes": _typed(note_id="id", claim_id="id", note_time="time", author="text", note_text="text"),
 }
 
+MART = {
+    "claim_risk_signals": T.StructType([
+        *_typed(claim_number="text", lob="text", loss_state="text", paid_total="money", reserve_total="money",
+                dup_hits="id"),
+        T.StructField("reserve_flag", T.IntegerType()), T.StructField("risk_score", T.DecimalType(14, 1)),
+    ]),
+}
+
 # Lengths the typed tables declare below the staged lengths (table, column, limit).
 LENGTH_LIMITS = (
     ("core_claims", "injury_cause", 30),

@@ -88,8 +88,8 @@ def write_layer(frames: Mapping[str, DataFrame], base: str, layer: str) -> None:
 
 
 def read_layer(spark: SparkSession, base: str, layer: str) -> dict[str, DataFrame]:
-    """Tables of a stored staged or core layer, with their declared schemas."""
-    declared = {"staged": schemas.STAGED, "core": schemas.CORE}[layer]
+    """Tables of a stored layer, with their declared schemas."""
+    declared = {"staged": schemas.STAGED, "core": schemas.CORE, "mart": schemas.MART}[layer]
     return {name: spark.read.schema(schema).parquet(f"{base}/{layer}/{name}") for name, schema in declared.items()}
 
 
@@ -98,9 +98,3 @@ def save_tables(spark: SparkSession, frames: Mapping[str, DataFrame], layer: str
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     for name, frame in frames.items():
         _in_files(name, frame).write.mode("overwrite").format("parquet").saveAsTable(f"{layer}.{name}")
-
-
-def register_views(frames: Mapping[str, DataFrame]) -> None:
-    """Make frames available to SQL under their names; each read evaluates them."""
-    for name, frame in frames.items():
-        frame.createOrReplaceTempView(name)

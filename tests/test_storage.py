@@ -85,6 +85,15 @@ def test_risk_view_reads_current_data(spark, stored):
     assert spark.sql("SELECT count(*) FROM claim_risk_signals WHERE dup_hits > 0").first()[0] == 55
 
 
+def test_the_stored_mart_outlives_a_new_load(spark, small, tmp_path):
+    staged, base = staging.StagedTables(spark, small, AS_OF), str(tmp_path)
+    mart.load_mart(core.load_core(staged, base), base, AS_OF)
+    core.load_core(staged, base)
+    found = storage.read_layer(spark.newSession(), base, "mart")["claim_risk_signals"]
+    assert _same(found, entry.queries()["mart_claim_risk_signals"](spark, small))
+    assert [f.name for f in found.schema] == schemas.MART["claim_risk_signals"].fieldNames()
+
+
 def test_catalog_tables(spark, small, tmp_path):
     tables = {"core_policies": entry.Tables(spark, small).policies}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS core LOCATION '{tmp_path}/core.db'")
