@@ -7,6 +7,10 @@ several lines (two with text at least) that occurs more than once among all docu
 doc_id, content and place; every other occurrence goes if its bytes equal those of the first one. Chunks are matched by
 128 bits and only those that repeat are sent with their text for the comparison.
 
+The first and the last chunk of a passage take in lines around it and so differ. ``with_passages`` therefore matches
+every two successive lines with text as well: whatever run of two lines or more came before goes whole, wherever its
+chunks end. A repeat that overlaps the first occurrence in its own document stays. Each line stays where it comes first.
+
 A null text stays null, an empty one empty; both have no chunk to lose. Rows that are equal in doc_id and text are one
 document and get equal results. A null doc_id sorts first. Extra columns of any name are kept as they are. A text may
 become empty; its row stays. An empty table gives an empty result.
@@ -18,7 +22,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leakscope.llm.common import cut
@@ -26,6 +30,7 @@ from leakscope.llm.common import cut
 ROLL = 2
 DIVISOR = 3
 LEAST = 2
+BITS = 1 << 24  # of the map that keeps documents without repeats out of shuffles; a full map costs time, no results
 _PRIME, _MASK = 0x9E3779B185EBCA87, (1 << 64) - 1
 
 
@@ -49,66 +54,143 @@ def _several(chunk: bytes) -> bool:
     return sum(1 for line in chunk.split(b"\n") if line.strip()) > 1
 
 
-def _chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
-    """(doc_id, content, from, to, high, low[, chunk]) of the chunks with several lines."""
+def passages(text: bytes) -> list[tuple[int, int, bytes]]:
+    """Like ``chunks``, every line with text and the next one, with the lines without text between them."""
+    lines = text.split(b"\n")
+    at = [i for i, line in enumerate(lines) if line.strip()]
+    return [(a, b + 1, b"\n".join(lines[a:b + 1])) for a, b in zip(at, at[1:])]
+
+
+def _chunk_rows(docs: DataFrame, with_passages: bool) -> DataFrame:
+    """(doc_id, content, from, to, high, low) of the chunks with several lines."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, size = ([], [], [], [], [], []), 0
+            rows = [], [], [], [], []
             for row, text in enumerate(batch.column(2)):
-                for begin, end, chunk in chunks(text.as_buffer().to_pybytes() if text.is_valid else b""):
-                    if not _several(chunk):
-                        continue
+                text = text.as_buffer().to_pybytes() if text.is_valid else b""
+                found = {(a, b): chunk for a, b, chunk in chunks(text) if _several(chunk)}
+                if with_passages:
+                    found.update(((a, b), chunk) for a, b, chunk in passages(text))
+                for (begin, end), chunk in found.items():
                     digest = xxhash.xxh3_128_digest(chunk)
-                    size += len(chunk)
                     for column, value in zip(rows, (row, begin, end, int.from_bytes(digest[:8], "big", signed=True),
-                                                    int.from_bytes(digest[8:], "big", signed=True), chunk)):
+                                                    int.from_bytes(digest[8:], "big", signed=True))):
                         column.append(value)
-                if size > 1 << 22:
-                    yield _batch(batch, rows, with_text)
-                    rows, size = ([], [], [], [], [], []), 0
-            yield _batch(batch, rows, with_text)
+                if len(rows[0]) > 1 << 16:
+                    yield _batch(batch, rows)
+                    rows = [], [], [], [], []
+            yield _batch(batch, rows)
+
+    return (_with_lines(docs).mapInArrow(read, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, "
+                                               "content bigint, `from` int, `to` int, high bigint, low bigint"))
 
-    schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, content bigint, `from` int, `to` int, "
-              "high bigint, low bigint") + (", chunk binary" if with_text else "")
-    return (docs.select("doc_id", F.xxhash64("text").alias("content"), "text").where(F.col("text").contains("\n"))
-            .mapInArrow(read, schema))
 
+def _with_lines(docs: DataFrame) -> DataFrame:
+    return (docs.select("doc_id", F.xxhash64("text").alias("content"), "text").where(F.col("text").contains("\n")))
 
-def _batch(batch: pa.RecordBatch, rows: tuple[list, ...], with_text: bool) -> pa.RecordBatch:
+
+def _batch(batch: pa.RecordBatch, rows: tuple[list, ...]) -> pa.RecordBatch:
     at = pa.array(rows[0], pa.int64())
     columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(rows[1], pa.int32()),
                pa.array(rows[2], pa.int32()), pa.array(rows[3], pa.int64()), pa.array(rows[4], pa.int64())]
-    names = ["doc_id", "content", "from", "to", "high", "low"]
-    if with_text:
-        columns.append(pa.array(rows[5], pa.binary()))
-        names.append("chunk")
-    return pa.record_batch(columns, names=names)
+    return pa.record_batch(columns, names=["doc_id", "content", "from", "to", "high", "low"])
 
 
-def removed_chunks(docs: DataFrame) -> DataFrame:
+def _chunk_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, content, from, to, high, low, is_first, chunk) of the chunks in ``wanted``."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, texts, size = ([], [], [], [], []), ([], []), 0
+            for row, (text, chunks_of) in enumerate(zip(batch.column(2), batch.column(3).to_pylist())):
+                lines = text.as_buffer().to_pybytes().split(b"\n")
+                for c in chunks_of:
+                    chunk = b"\n".join(lines[c["from"]:c["to"]])
+                    size += len(chunk)
+                    for column, value in zip((*rows, *texts), (row, c["from"], c["to"], c["high"], c["low"],
+                                                               c["is_first"], chunk)):
+                        column.append(value)
+                if size > 1 << 22:
+                    yield _with_text(batch, rows, texts)
+                    rows, texts, size = ([], [], [], [], []), ([], []), 0
+            yield _with_text(batch, rows, texts)
+
+    given, _ = _split(_with_lines(docs), F.col("content"), wanted)
+    wanted = wanted.select(F.col("doc_id").alias("__id"), F.col("content").alias("__content"), "chunks")
+    return (given.join(wanted, given["doc_id"].eqNullSafe(wanted["__id"]) & (given["content"] == wanted["__content"]))
+            .select("doc_id", "content", "text", "chunks")
+            .mapInArrow(read, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, content bigint, `from` int, "
+                              "`to` int, high bigint, low bigint, is_first boolean, chunk binary"))
+
+
+def _with_text(batch: pa.RecordBatch, rows: tuple[list, ...], texts: tuple[list, list]) -> pa.RecordBatch:
+    made = _batch(batch, rows)
+    return pa.record_batch([*made.columns, pa.array(texts[0], pa.bool_()), pa.array(texts[1], pa.binary())],
+                           names=[*made.schema.names, "is_first", "chunk"])
+
+
+def _split(df: DataFrame, content: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose content may be one of ``keys(content)``, and rows that surely have none; null is none."""
+    bits = (keys.select(F.expr(f"pmod(content, {BITS}) div 64").alias("__word"),
+                        F.expr("shiftleft(1L, int(pmod(content, 64)))").alias("__bit"))
+            .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))  # BITS / 64 rows at most
+    marked = df.withColumn("__at", content).join(
+        F.broadcast(bits), F.expr(f"pmod(__at, {BITS}) div 64") == F.col("__word"), "left")
+    may_be = F.expr("coalesce(getbit(__bits, int(pmod(__at, 64))) = 1, false)")
+    return tuple(marked.where(x).drop("__at", "__word", "__bits") for x in (may_be, ~may_be))
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges that meet or overlap as one."""
+    kind = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
+    for batch in batches:
+        column = []
+        for ranges in batch.column(2).to_pylist():
+            made = []
+            for begin, end in sorted((r["from"], r["to"]) for r in ranges):
+                if made and begin <= made[-1]["to"]:
+                    made[-1]["to"] = max(end, made[-1]["to"])
+                else:
+                    made.append({"from": begin, "to": end})
+            column.append(made)
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(column, kind)], names=batch.schema.names)
+
+
+def removed_chunks(docs: DataFrame, with_passages: bool = False) -> DataFrame:
     """(doc_id, content, ranges): the line ranges that go, of every document that loses any."""
-    place = F.struct("doc_id", "content", "from")
-    repeated = (_chunk_rows(docs, with_text=False).groupBy("high", "low")
-                .agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-                .select("high", "low", "first"))
-    texts = cut(_chunk_rows(docs, with_text=True).join(repeated, ["high", "low"])
-                .withColumn("is_first", place.eqNullSafe(F.col("first"))).drop("first"), "line-chunks")
+    place = F.struct("doc_id", "content", "from", "to")
+    rows = cut(_chunk_rows(docs, with_passages), "line-places")
+    several = rows.groupBy("high", "low").count().where("count > 1").drop("count")
+    again = cut(rows.join(several, ["high", "low"]), "line-repeats")
+    repeated = (again.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                .where("first <> last").select("high", "low", "first"))
+    is_first = place.eqNullSafe(F.col("first"))
+    overlaps = F.expr("doc_id <=> first.doc_id AND content = first.content AND `from` < first.`to`")
+    wanted = cut(again.join(repeated, ["high", "low"]).withColumn("is_first", is_first).where(is_first | ~overlaps)
+                 .groupBy("doc_id", "content")
+                 .agg(F.collect_set(F.struct("from", "to", "high", "low", "is_first")).alias("chunks")), "line-wanted")
+    texts = cut(_chunk_texts(docs, wanted), "line-chunks")
     firsts = (texts.where("is_first").groupBy("high", "low").agg(F.first("chunk").alias("first_chunk")))
+    schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, content bigint, "
+              "ranges array<struct<`from`:int,`to`:int>>")
     return (texts.where("NOT is_first").join(firsts, ["high", "low"]).where("chunk = first_chunk")
             .select("doc_id", "content", F.struct("from", "to").alias("range"))
-            .groupBy("doc_id", "content").agg(F.array_sort(F.collect_set("range")).alias("ranges")))
+            .groupBy("doc_id", "content").agg(F.collect_set("range").alias("ranges")).mapInArrow(_merged, schema))
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated chunks removed from ``text``; adds __n_lines and __n_removed (lines)."""
-    gone = removed_chunks(docs).select(F.col("doc_id").alias("__id"), F.col("content").alias("__content"),
-                                       F.col("ranges").alias("__ranges"))
+def line_dedup(docs: DataFrame, with_passages: bool = False) -> DataFrame:
+    """``docs`` with the repeated chunks, and passages if asked for, removed from ``text``; adds __n_lines and
+    __n_removed (lines)."""
+    gone = cut(removed_chunks(docs, with_passages), "line-ranges")
+    may_lose, whole = _split(docs, F.xxhash64("text"), gone)
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("content").alias("__content"),
+                       F.col("ranges").alias("__ranges"))
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.exists("__ranges", lambda r: (i >= r["from"]) & (i < r["to"])))
     removed = F.aggregate("__ranges", F.lit(0), lambda n, r: n + r["to"] - r["from"])
     columns = [F.when(F.col("__ranges").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
-               if c == "text" else docs[c] for c in docs.columns]
-    own = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"])
-                    & (F.xxhash64(docs["text"]) == gone["__content"]), "left")
-    return own.select(*columns, F.coalesce(F.size(lines), F.lit(0)).alias("__n_lines"),
-                      F.coalesce(removed, F.lit(0)).alias("__n_removed"))
+               if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    n_lines = F.coalesce(F.size(lines), F.lit(0)).alias("__n_lines")
+    own = may_lose.join(gone, may_lose["doc_id"].eqNullSafe(gone["__id"])
+                        & (F.xxhash64(may_lose["text"]) == gone["__content"]), "left")
+    return (own.select(*columns, n_lines, F.coalesce(removed, F.lit(0)).alias("__n_removed"))
+            .unionAll(whole.select("*", n_lines, F.lit(0).alias("__n_removed"))))

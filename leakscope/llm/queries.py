@@ -65,7 +65,7 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return line_dedup.line_dedup(docs).select(
+    return line_dedup.line_dedup(docs, with_passages=True).select(
         "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"),
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
