@@ -4,13 +4,13 @@ A word is spelled by one piece that begins words and any number that continue th
 does. The vocabulary's own scores weight the pieces at first: as log probabilities if it is a unigram one, else by
 rank, as one over rank plus a constant. ``ROUNDS`` of expectation maximisation over the counts of all training words
 then fit these weights to the corpus; the pieces stay the vocabulary's. A word's lattice probability is the sum over all its segmentations, by a forward recursion in log
-space. Two more arcs span the word whole, its discounted count and the unknown piece U, which has half a count:
+space. One more arc spans a seen word whole, its discounted count; all that the discounts free goes to the lattice:
 
-    P(word) = max(c - D, 0) / N + U + S * lattice(word),   U = 0.5 / (N + 0.5 * (V + 1))
+    P(word) = max(c - D, 0) / N + D * V / N * lattice(word)
 
-with training counts c, all N tokens, V distinct ones, D from the numbers of words seen once and twice, and S what is
-left of 1 after the counts, a U for each seen word and one U for an unseen one. The end of a text is a token without a
-spelling. The log probability of a document, marginal over all segmentations, is the sum over its tokens, as its
+with training counts c, all N tokens, V distinct ones and D from the numbers of words seen once and twice. So P sums to
+at most 1 over all words, seen or not. The base gives every unseen word U = 0.5 / (N + 0.5 * (V + 1)), however many
+there are. The end of a text is a token without a spelling. The log probability of a document, marginal over all segmentations, is the sum over its tokens, as its
 lattice falls apart at the white space.
 
 Scores of the ``FREQUENT`` most frequent words go to the tasks as a table, all rarer words are joined with the table of
@@ -38,7 +38,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 FREQUENT = 1 << 17
 BYTES_SHARE = 0.01
 ROUNDS = 3
-LEAST_DISCOUNT = 0.55  # above the half count of the unknown piece, so that something is left for the lattice
+LEAST_DISCOUNT = 0.55  # so that something is left for the lattice
 _MARK = "▁"
 _LONG = 48  # code points; longer words are spelled one by one and take no part in the fit
 _FLUSH = 1 << 18
@@ -289,10 +289,9 @@ def lm_scores(docs: DataFrame, learned: Column, pieces: Pieces, frequent: int =
     c = F.col("c")
     base = F.log10((c + 0.5) * (2 * unknown))
     if n:
-        whole = F.log(F.greatest(c - discount, F.lit(0.0)) / float(n) + unknown)
-        left = max(discount * v / n - (v + 1) * unknown, 1e-9)
-        spelled = F.col("lattice") + float(np.log(left))
-        end_score = float(np.log10(max(ends - discount, 0.0) / n + unknown))
+        whole = F.when(c > 0, F.log((c - discount) / float(n))).otherwise(F.lit(_TINY))
+        spelled = F.col("lattice") + float(np.log(discount * v / n))
+        end_score = float(np.log10((ends - discount) / n))  # ends > 0, as each document that counts has one
     else:
         whole, spelled, end_score = F.lit(_TINY), F.col("lattice") + float(np.log(0.5)), float(np.log10(0.5))
     # The sum of both ways in log space, as the lattice's part may be far below the smallest double.
