@@ -21,6 +21,8 @@ columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,7 +42,7 @@ BYTES_SHARE = 0.01
 ROUNDS = 3
 LEAST_DISCOUNT = 0.55  # so that something is left for the lattice
 _MARK = "▁"
-_LONG = 48  # code points; longer words are spelled one by one and take no part in the fit
+_LONG = 48  # code points; longer words are spelled one by one
 _FLUSH = 1 << 18
 _TINY = -1e300
 _SLOT_BITS = 20
@@ -56,6 +58,7 @@ class Pieces:
     log: np.ndarray
 
     def __post_init__(self):
+        self.logs = self.log.tolist()
         self.longest = max(map(len, [*self.begin, *self.inner, "."]))
         self.tables = [_hash_table(self.begin, 0), _hash_table(self.inner, len(self.begin))]
         self.names = [{p: i for i, p in enumerate(self.begin)},
@@ -207,9 +210,46 @@ def expected(words: list[str], counts: np.ndarray, pieces: Pieces) -> np.ndarray
                 beta[i, rows] = np.logaddexp(beta[i, rows], ahead)
         total += np.bincount(np.concatenate(numbers), np.concatenate(shares), len(total))
         total[mark] += (np.exp(np.minimum(alpha[0] + beta[0] - alpha[n], 0)) * weight).sum()
+    for i, word in enumerate(words):
+        if len(word) > _LONG:
+            _add_expected(total, word, float(counts[i]), pieces)
     return total
 
 
+def _arcs_to(word: str, j: int, pieces: Pieces, log: list[float]) -> Iterator[tuple[int, int, float, int]]:
+    """From, piece, log weight and number of pieces of every arc that ends before code point ``j``; see ``_arcs``."""
+    begin, inner = pieces.names
+    if j <= pieces.longest and (number := begin.get(word[:j])) is not None:
+        yield -1, number, log[number], 1
+    n_bytes = len(word[j - 1].encode("utf-8", "surrogatepass"))
+    yield j - 1, len(log) - 1, log[-1] * n_bytes, n_bytes
+    for i in range(max(0, j - pieces.longest), j):
+        if (number := inner.get(word[i:j])) is not None:
+            yield i, number, log[number], 1
+
+
+def _log_add(a: float, b: float) -> float:
+    top = max(a, b)
+    return top + math.log1p(math.exp(min(a, b) - top))
+
+
+def _add_expected(total: np.ndarray, word: str, count: float, pieces: Pieces) -> None:
+    """Adds what ``expected`` gives for one word, in time and memory proportional to its length."""
+    n, mark, log = len(word), pieces.names[0][""], pieces.logs
+    alpha, beta = array("d", [_TINY]) * (n + 1), array("d", [_TINY]) * (n + 1)
+    alpha[0], beta[n] = log[mark], 0.0
+    for j in range(1, n + 1):
+        for i, _, score, _ in _arcs_to(word, j, pieces, log):
+            alpha[j] = _log_add(alpha[j], score if i < 0 else alpha[i] + score)
+    for j in range(n, 0, -1):
+        for i, number, score, times in _arcs_to(word, j, pieces, log):
+            ahead = score + beta[j]
+            total[number] += math.exp(min((0 if i < 0 else alpha[i]) + ahead - alpha[n], 0)) * count * times
+            if i >= 0:
+                beta[i] = _log_add(beta[i], ahead)
+    total[mark] += math.exp(min(alpha[0] + beta[0] - alpha[n], 0)) * count
+
+
 def fitted(words: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> Pieces:
     """The pieces with weights that ``rounds`` of expectation maximisation over ``words(word, c)`` give them; the
     weights before count like one more piece in a thousand, so none becomes 0."""
