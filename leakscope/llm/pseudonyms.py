@@ -7,6 +7,10 @@ letters and digits of the part before the @) and a Feistel network, walked until
 numbers under a key. So a pseudonym is valid in the same format, other values of that format get other pseudonyms, and
 equal values stay equal across documents however they are punctuated. The key undoes it, see ``reveal``.
 
+Of digits around a card number, or words behind an IBAN, the longest part at group bounds that is valid is taken. A
+pseudonym is walked on until the same part would be taken again, so that the key finds it; only there a value may get
+another pseudonym than elsewhere, and not for digits before or behind a whole card number.
+
 Null stays null, an empty text empty; any row is handled by itself, so repeated rows get equal results. Extra columns
 are kept by ``pseudonymise`` as they are. An empty table gives an empty result.
 """
@@ -69,28 +73,62 @@ def _digits(number: str, key: bytes, tweak: bytes, back: bool) -> str:
     return str(permute(int(number), 10 ** len(number), key, tweak, back)).zfill(len(number))
 
 
-def _card(text: str, key: bytes, back: bool) -> str | None:
+def _is_card(text: str) -> bool:
     digits = re.sub(r"\D", "", text)
-    if luhn(digits) % 10 or not 13 <= len(digits) <= 19 or len(set(digits)) == 1:
+    return not luhn(digits) % 10 and 13 <= len(digits) <= 19 and len(set(digits)) > 1
+
+
+def _card(text: str, key: bytes, back: bool) -> str | None:
+    if not _is_card(text):
         return None
-    body = digits[0] + _digits(digits[1:-1], key, b"card" + digits[0].encode(), back)
-    return _refill(text, body + str(-luhn(body + "0") % 10))
+    number = digits = re.sub(r"\D", "", text)
+    while True:
+        body = number[0] + _digits(number[1:-1], key, b"card" + number[0].encode(), back)
+        number = body + str(-luhn(body + "0") % 10)
+        # With the sums of both parities as before, longer digits around the number stay as valid or invalid.
+        if (luhn(number + "0") - luhn(digits + "0")) % 10 == 0 and len(set(number)) > 1:
+            return _refill(text, number)
 
 
-def _iban(text: str, key: bytes, back: bool) -> str | None:
+def _iban_rest(plain: str) -> int:
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
+def _is_iban(text: str) -> bool:
     plain = text.replace(" ", "")
+    return 15 <= len(plain) <= 34 and _iban_rest(plain) == 1 and any(c.isdigit() for c in plain[4:])
 
-    def rest(value: str) -> int:
-        return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97
 
-    if not 15 <= len(plain) <= 34 or rest(plain) != 1:
+def _iban(text: str, key: bytes, back: bool) -> str | None:
+    if not _is_iban(text):
         return None
+    plain = text.replace(" ", "")
     digits = "".join(c for c in plain[4:] if c.isdigit())
-    if not digits:
-        return None
     body = _refill(plain[4:], _digits(digits, key, b"iban" + re.sub(r"\d", "0", plain[4:]).encode() + plain[:2].encode(),
                                       back))
-    return _refill(text, plain[:2] + f"{98 - rest(plain[:2] + '00' + body):02d}" + body, str.isalnum)
+    return _refill(text, plain[:2] + f"{98 - _iban_rest(plain[:2] + '00' + body):02d}" + body, str.isalnum)
+
+
+def _part(kind: str, text: str) -> tuple[int, int] | None:
+    """Begin and end of the longest, then first part of whole groups that is a card number or an IBAN."""
+    groups = [g.span() for g in re.finditer(r"[A-Z0-9]+", text)]
+    starts = groups if kind == "card" else groups[:1]
+    parts = sorted(((a, b) for i, (a, _) in enumerate(starts) for _, b in groups[i:] if b - a >= 13),
+                   key=lambda p: (-sum(map(str.isalnum, text[slice(*p)])), p))
+    valid = _is_card if kind == "card" else _is_iban
+    return next((p for p in parts if valid(text[slice(*p)])), None)
+
+
+def _within(kind: str, text: str, key: bytes, back: bool) -> tuple[str, int] | None:
+    """``text`` with the pseudonym of its part, and where the part ends."""
+    part = _part(kind, text)
+    if part is None:
+        return None
+    begin, end = part
+    while True:
+        text = text[:begin] + _MAKERS[kind](text[begin:end], key, back) + text[end:]
+        if _part(kind, text) == part:
+            return text[:end], end
 
 
 def _date(text: str, key: bytes, back: bool) -> str | None:
@@ -106,16 +144,19 @@ def _date(text: str, key: bytes, back: bool) -> str | None:
         return None
     if not 0 <= number < _DAYS:
         return None
-    month_first = "/" in text and int(text[3:5]) > 12
-    if "/" not in text:
-        made = _FIRST_DAY + datetime.timedelta(days=permute(number, _DAYS, key, b"date", back))
-        return made.strftime("%Y-%m-%d" if "-" in text else "%d.%m.%Y")
-    # A date with slashes stays one that is read in the same order, day or month first.
+    # A day after the 12th stays one, so that a date with slashes is read in the same order, day or month first; in
+    # every spelling, so that equal dates stay equal.
+    late = day > 12
     while True:
         number = permute(number, _DAYS, key, b"date", back)
         made = _FIRST_DAY + datetime.timedelta(days=number)
-        if not month_first or made.day > 12:
-            return made.strftime("%m/%d/%Y" if month_first else "%d/%m/%Y")
+        if (made.day > 12) == late:
+            break
+    if "-" in text:
+        return made.strftime("%Y-%m-%d")
+    if "." in text:
+        return made.strftime("%d.%m.%Y")
+    return made.strftime("%m/%d/%Y" if int(text[3:5]) > 12 else "%d/%m/%Y")
 
 
 def _ip(text: str, key: bytes, back: bool) -> str | None:
@@ -173,16 +214,20 @@ _MAKERS: dict[str, Callable[[str, bytes, bool], str | None]] = {
 def replaced(text: str, key: bytes = KEY, back: bool = False) -> tuple[str, dict[str, int]]:
     """The text with pseudonyms, and how many of each kind it holds."""
     found: dict[str, int] = {}
-
-    def one(match: re.Match) -> str:
-        kind = match.lastgroup
-        made = _MAKERS[kind](match[0], key, back)
-        if made is None:
-            return match[0]
-        found[kind] = found.get(kind, 0) + 1
-        return made
-
-    return _PATTERN.sub(one, text), found
+    done, at = [], 0
+    while match := _PATTERN.search(text, at):
+        kind, end = match.lastgroup, match.end()
+        if kind in ("card", "iban"):
+            made = _within(kind, match[0], key, back)
+            if made is not None:
+                made, end = made[0], match.start() + made[1]
+        else:
+            made = _MAKERS[kind](match[0], key, back)
+        if made is not None:
+            found[kind] = found.get(kind, 0) + 1
+        done += text[at:match.start()], text[match.start():end] if made is None else made
+        at = end
+    return "".join([*done, text[at:]]), found
 
 
 def reveal(text: str, key: bytes = KEY) -> str:
