@@ -99,9 +99,28 @@ SELECT conv_id, n_turns, turns_sha256, length(learned) AS loss_chars, sha256(lea
        CAST(formatted_chars AS BIGINT) AS formatted_chars FROM a JOIN f USING (conv_id)
 """
 
+_HARD_NEGATIVES = """
+WITH r AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id,
+          CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score,
+          s.score AS negative_score,
+          row_number() OVER (PARTITION BY anchor_id, p.id ORDER BY s.score DESC, s.id) AS place
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE place <= 5
+"""
+
 SQL: dict[str, str] = {
     "op3_jaccard_join": _JACCARD,
     "op5_source_mix": _MIX,
     "op6_decontamination": _WINDOWS,
     "op8_chat_format": _CHAT,
+    "op12_hard_negatives": _HARD_NEGATIVES,
 }

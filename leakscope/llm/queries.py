@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leakscope.llm import (
-    chat_format, decontamination, jaccard_join, language_id, lattice_lm, line_dedup, mixing, oracles, order_minhash,
-    pseudonyms, toxicity,
+    chat_format, decontamination, hard_negatives, jaccard_join, language_id, lattice_lm, line_dedup, mixing, oracles,
+    order_minhash, prefix_bpe, pseudonyms, toxicity, whitening,
 )
 from leakscope.llm.common import fold, table
+from leakscope.llm.vectors import floored, is_finite
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,6 +79,35 @@ def op10_lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
                         "score")
 
 
+def op11_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = prefix_bpe.load_word_bpe(str(public_tokenizers.path("word_bpe_49k.json")))
+    encoded = prefix_bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), tokenizer)
+    return prefix_bpe.decode(encoded, tokenizer).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").where(is_finite("embedding")).select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        floored("embedding", 256).alias("vector"))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").where(is_finite("embedding")).select(
+        "vec_id", floored("embedding", 1024, 100_000).alias("vector"))
+    blocks = whitening.read_blocks(rows, fill=100_000)
+    model = whitening.fit(blocks)
+    error = whitening.identity_error(blocks, model)
+    return whitening.whitened(blocks, model).select(
+        "vec_id", "component", F.lit(blocks.n).cast("bigint").alias("n"), "deviation", "whitened", "explained",
+        F.lit(error).alias("identity_error"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,7 +117,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (op1_language_id, op2_order_minhash, op3_jaccard_join, op4_pseudonyms, op5_source_mix,
-                  op6_decontamination, op7_toxicity, op8_chat_format, op9_line_dedup, op10_lattice_lm, pipeline)
+                  op6_decontamination, op7_toxicity, op8_chat_format, op9_line_dedup, op10_lattice_lm, op11_prefix_bpe,
+                  op12_hard_negatives, op13_whitening, pipeline)
 }
 
 ORACLES: dict[str, str] = oracles.SQL
