@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 
 WORDS_KEPT = 1 << 18
-PAIRS_KEPT = 1 << 20
+PAIRS_KEPT = 1 << 17
 PIECE = 1 << 18
 _LONG = 64  # longer words are not kept
 
@@ -83,7 +83,7 @@ class WordBpe:
     special: dict[str, int]
     _kept: dict[str, bytes] = field(default_factory=dict, repr=False)
     _older: dict[str, bytes] = field(default_factory=dict, repr=False)
-    _pairs: dict[tuple[int, int], bool] = field(default_factory=dict, repr=False)
+    _pairs: dict[int, bool] = field(default_factory=dict, repr=False)
 
     def __getstate__(self) -> dict:
         return {k: getattr(self, k) for k in ("names", "merges", "word_end", "pattern", "special")} | {
@@ -140,7 +140,7 @@ class WordBpe:
         Of all merges that build the two tokens the last ones are undone first. If the parts that then touch could merge
         with each other before the merge that was undone, it would not have come to that one.
         """
-        key = (left, right)
+        key = left * len(self.names) + right
         known = self._pairs.get(key)
         if known is None:
             if len(self._pairs) >= PAIRS_KEPT:
