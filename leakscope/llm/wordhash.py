@@ -46,11 +46,13 @@ def _multipliers(places: np.ndarray) -> np.ndarray:
 
 
 def byte_table(separators: bytes, lower: bool = True) -> np.ndarray:
-    """Byte to byte, A-Z lower-cased, separators 0. Bytes above 0x7F always belong to words."""
+    """Byte to byte, A-Z lower-cased, separators 0. Bytes above 0x7F always belong to words, and U+0000 does if it is no
+    separator: it becomes 0xFF, which UTF-8 never has."""
     table = np.arange(256, dtype=np.uint8)
     if lower:
         table[ord("A"):ord("Z") + 1] += 32
-    table[list(separators) + [0]] = 0
+    table[0] = 0xFF
+    table[list(separators)] = 0
     return table
 
 

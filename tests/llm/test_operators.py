@@ -51,6 +51,14 @@ def test_all_are_registered():
 
 # Words shared by several operators.
 
+def test_a_nul_is_part_of_a_word(spark):
+    texts = ["a\0b c d e f", "a b c d e f", "a\0b c d e f"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs, 4, 30).collect()}
+    assert found == {0: (2, 0), 1: (3, 1), 2: (2, 0)} or found == {0: (2, 0), 1: (3, 0), 2: (2, 0)}
+    assert found[0][0] == 2 and jaccard_join.jaccard_components(docs, 4, 85).where("doc_id = 1").first()[2] == 1
+
+
 def test_word_hashes_follow_the_words():
     import pyarrow as pa
 
