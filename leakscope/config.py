@@ -10,19 +10,6 @@ from datetime import date, datetime, timedelta
 FIXTURE_AS_OF = datetime(2001, 8, 1, 10, 0, 0)
 
 
-@dataclass(frozen=True)
-class KeyFormat:
-    """A business key made of a prefix and a zero-padded number."""
-
-    prefix: str
-    width: int = 9
-
-
-POLICY_KEY = KeyFormat("POL")
-CLAIM_KEY = KeyFormat("CLM")
-ADJUSTER_KEY = KeyFormat("A")
-
-
 @dataclass(frozen=True)
 class KeywordRule:
     """A note raises ``flag`` when it contains every phrase (any case)."""

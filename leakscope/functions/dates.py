@@ -9,22 +9,40 @@ expression for each use.
 
 from __future__ import annotations
 
-# The accepted spellings of a date and of the time that may follow.
-_DAYS = ("yyyy-M-d", "M/d/yyyy", "d-MMM-yyyy", "yyyyMMdd")
-_TIMES = (" H:mm[:ss[.SSSSSS]]", "''T''H:mm[:ss[.SSSSSS]]")
+# The accepted spellings of a date and of the time that may follow. A year of two digits is made whole
+# before: up to 49 it is of this century, else of the one before.
+_DAYS = (
+    "yyyy-M-d", "M/d/yyyy", "d-MMM-yyyy", "yyyyMMdd", "yyyy/M/d", "yyyy.M.d", "M-d-yyyy", "M.d.yyyy", "d MMM yyyy",
+    "MMM d[,] yyyy",
+)
+_TIMES = (" H:mm[:ss[.SSSSSSSSS]]", "''T''H:mm[:ss[.SSSSSSSSS]]")
+_CENTURIES = {"[0-4][0-9]": "20", "[5-9][0-9]": "19"}
 _PATTERN = "".join(f"[{spelling}]" for spelling in _DAYS + _TIMES)
+_MONTH_FIRST = "^[A-Za-z]{3} [0-9]"
+
+
+def _short(year: str) -> str:
+    """A date that ends with this year, before any time."""
+    return f"^([0-9]{{1,2}}[/-][0-9]{{1,2}}[/-]|[0-9]{{1,2}}-[A-Za-z]{{3}}-)({year})([ T].*)?$"
+
+
+def _whole_year(text: str) -> str:
+    whole = text
+    for year, century in _CENTURIES.items():
+        whole = f"regexp_replace({whole}, '{_short(year)}', '$1{century}$2$3')"
+    return f"if({text} RLIKE '{_short('[0-9]{2}')}', {whole}, {text})"
 
 
 def parse_datetime(text: str) -> str:
     """Timestamp of a text column in any accepted spelling, at midnight without a time.
 
-    Anything else, such as an empty text or the word NULL, is NULL: every
-    spelling begins with a digit. Times are read in the session time zone, which
-    should be UTC.
+    Anything else, such as an empty text or the word NULL, is NULL: every spelling begins with a digit or a month. The
+    result has no time zone, but it is read in the session's, which should be UTC.
     """
     digits = ", ".join(str(ord(digit)) for digit in "0123456789")
-    parsed = f"cast(try_to_timestamp(trim({text}), '{_PATTERN}') AS timestamp_ntz)"
-    return f"if(ascii(trim({text})) IN ({digits}), {parsed}, NULL)"
+    begins = f"ascii(trim({text})) IN ({digits}) OR trim({text}) RLIKE '{_MONTH_FIRST}'"
+    parsed = f"cast(try_to_timestamp({_whole_year(f'trim({text})')}, '{_PATTERN}') AS timestamp_ntz)"
+    return f"if({begins}, {parsed}, NULL)"
 
 
 def parse_date(text: str) -> str:

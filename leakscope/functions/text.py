@@ -6,7 +6,7 @@ the SQL text of a built-in expression.
 
 from __future__ import annotations
 
-from leakscope.config import KeyFormat, KeywordRule
+from leakscope.config import KeywordRule
 
 
 def clean_text(text: str) -> str:
@@ -63,31 +63,6 @@ def pad_number(number: str, width: int) -> str:
     return f"lpad({digits}, greatest({width}, length({digits})), '0')"
 
 
-def _numbered(canonical: str, fmt: KeyFormat) -> str:
-    # The width in digits, or more digits without a leading zero: one spelling per number.
-    spelling = f"^{fmt.prefix}([0-9]{{{fmt.width}}}|[1-9][0-9]{{{fmt.width},17}})$"
-    number = f"try_cast(regexp_extract({canonical}, '{spelling}', 1) AS bigint)"
-    hashed = f"-(xxhash64({canonical}) & {2**63 - 1}) - 1"
-    return f"coalesce({number}, if({canonical} IS NULL, NULL, {hashed}))"
-
-
-def key_number(key: str, fmt: KeyFormat) -> str:
-    """Surrogate of a business key, the same on every run and without a shuffle.
-
-    A key in its standard form (prefix and zero-padded number) gives its number.
-    Any other key gives a negative hash, which no standard key can equal; the
-    uniqueness check of the load reports the improbable case of two such keys
-    with one hash. NULL stays NULL.
-    """
-    return _numbered(f"upper(trim({key}))", fmt)
-
-
-def parent_number(key: str, fmt: KeyFormat) -> str:
-    """Number of the parent a child row refers to; with leading blanks in the
-    reference it matches no parent."""
-    return f"if(startswith({key}, ' '), NULL, {_numbered(f'upper(rtrim({key}))', fmt)})"
-
-
 def has_phrases(text: str, rule: KeywordRule) -> str:
     """True when one text holds every phrase of the rule, in any case."""
     quoted = [phrase.lower().replace("\\", "\\\\").replace("'", "\\'") for phrase in rule.phrases]

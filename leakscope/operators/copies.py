@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 CHUNK = 65_536
 
 
-def append_copies(df: DataFrame, wanted: str) -> DataFrame:
-    """``df`` plus a second copy of the wanted rows, in one scan of ``df``."""
-    return df.selectExpr("*", f"explode(if({wanted}, array(0, 1), array(0))) AS _copy").drop("_copy")
+def append_copies(df: DataFrame, wanted: str, number: str | None = None) -> DataFrame:
+    """``df`` plus a second copy of the wanted rows, in one scan of ``df``; ``number`` is 1 on these, else 0."""
+    copied = df.selectExpr("*", f"explode(if({wanted}, array(0, 1), array(0))) AS _copy")
+    return copied.withColumnRenamed("_copy", number) if number else copied.drop("_copy")
 
 
 def expand_copies(df: DataFrame, copies: str, number: str = "_copy") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Paths and depths in a parent-child table, from the roots down."""
+"""Depths and paths in a parent-child table, from the roots down."""
 
 from __future__ import annotations
 
@@ -7,58 +7,60 @@ from pyspark.sql import functions as F
 
 from leakscope.sources.storage import cut
 
-_HOPS = 4  # by which factor the resolved depth grows per round
 
+def climb(nodes: DataFrame, node: str, parent: str, max_depth: int) -> list[DataFrame]:
+    """The states of all nodes after 1, 2, 4, … hops towards their roots: (_node, _top, _hops, _open).
 
-def _climb(state: DataFrame, node: str, separator: str) -> DataFrame:
-    """Every open row takes over the path of the row it points to."""
-    above = state.select(
-        F.col(node).alias("_at"), F.col("_next").alias("_above"), F.col("depth").alias("_hops"),
-        F.col("Path").alias("_path"),
-    )
-    climbed = (
-        state.where("_next IS NOT NULL")
-        .join(above, F.col("_next") == F.col("_at"))
-        .withColumns({
-            "_next": F.col("_above"),
-            "depth": F.col("depth") + F.col("_hops"),
-            "Path": F.concat("_path", F.lit(separator), "Path"),
-        })
-        .select(*state.columns)
-    )
-    return state.where("_next IS NULL").unionByName(climbed)
-
-
-def paths_from_roots(
-    nodes: DataFrame, node: str, parent: str, label: str, max_depth: int, separator: str = "->"
-) -> DataFrame:
-    """Nodes reachable from those without a parent, with ``depth`` and ``Path``.
-
-    Each row points to an ancestor and knows the path from there. A round lets
-    all rows take over their ancestor's pointer and path twice, so after round k
-    everything down to depth 4^k - 1 is resolved; a hierarchy of depth 100 takes
-    four rounds of distributed joins. Every round is written to the shared
-    folder, so plans stay small and a lost executor does not restart the walk.
-    Rows in a cycle, or below one, never reach a root. As depths have no gaps,
-    the walk is over when the deepest resolved row is not at the limit of its round.
+    An open row has made all its hops and stands at ``_top``; a closed one has reached its root after ``_hops``. In a
+    round every open row takes over where the row of its ``_top`` stands, so a hierarchy of depth 100 takes seven
+    rounds of one join each on three numbers a node, written to the shared folder. Rows in a cycle, or below one, stay
+    open and never grow. As depths have no gaps, the walk is over when no closed row is at the limit of its round.
     Raises when there are more than ``max_depth`` levels below the roots.
     """
-    state = cut(
-        nodes.select(
-            node, label, parent,
-            F.col(parent).alias("_next"),
-            F.when(F.col(parent).isNull(), 0).otherwise(1).alias("depth"),
-            F.col(label).alias("Path"),
-        ),
-        "tree",
-    )
-    resolved = 1
+    state = nodes.select(
+        F.col(node).alias("_node"), F.coalesce(parent, node).alias("_top"),
+        F.when(F.col(parent).isNull(), 0).otherwise(1).alias("_hops"), F.col(parent).isNotNull().alias("_open"))
+    rounds = [cut(state, "tree")]
+    reach = 1
     while True:
-        resolved *= _HOPS
-        state = cut(_climb(_climb(state, node, separator), node, separator), "tree-round")
-        reached = state.where("_next IS NULL")
-        deepest = reached.agg(F.max("depth")).first()[0]
+        reach *= 2
+        state = rounds[-1]
+        above = state.select(F.col("_node").alias("_at"), F.col("_top").alias("_next"), F.col("_hops").alias("_more"),
+                             F.col("_open").alias("_still"))
+        # Closed rows pass by: their key is NULL and joins with nothing.
+        stepped = state.join(above, F.when(F.col("_open"), F.col("_top")) == F.col("_at"), "left").select(
+            "_node", F.coalesce("_next", "_top").alias("_top"), (F.col("_hops") + F.coalesce("_more", F.lit(0)))
+            .alias("_hops"), F.coalesce("_still", "_open").alias("_open"),
+            (F.col("_open") & F.col("_at").isNull()).alias("_lost"))  # a parent that is no node
+        rounds.append(cut(stepped.where("NOT _lost").drop("_lost"), "tree-round"))
+        deepest = rounds[-1].where("NOT _open").agg(F.max("_hops")).first()[0]
         if deepest is not None and deepest > max_depth:
             raise ValueError(f"the hierarchy is deeper than {max_depth} levels")
-        if deepest is None or deepest < resolved - 1:
-            return reached.drop("_next")
+        if deepest is None or deepest < reach - 1:
+            return rounds
+
+
+def depths(rounds: list[DataFrame], node: str) -> DataFrame:
+    """(node, depth) of the nodes that reach a root."""
+    return rounds[-1].where("NOT _open").select(F.col("_node").alias(node), F.col("_hops").alias("depth"))
+
+
+def paths(rounds: list[DataFrame], nodes: DataFrame, node: str, label: str, separator: str = "->") -> DataFrame:
+    """(node, depth, Path) of the nodes that reach a root: the labels from there, NULL if one of them is.
+
+    Every node is a row for each of its steps; the ancestor so many steps above is found by the hops of 1, 2, 4, … that
+    add up to the step. Labels are joined once, at the end.
+    """
+    steps = depths(rounds, "_node").select(
+        "_node", "depth", F.col("_node").alias("_at"), F.explode(F.sequence(F.lit(0), F.col("depth"))).alias("_step"))
+    for bit, state in enumerate(rounds[:-1]):
+        hop = state.where("_open").select(F.col("_node").alias("_from"), F.col("_top").alias("_to"))
+        wanted = F.when(F.col("_step").bitwiseAND(F.lit(1 << bit)) != 0, F.col("_at"))
+        steps = steps.join(hop, wanted == F.col("_from"), "left").select(
+            "_node", "depth", "_step", F.coalesce("_to", "_at").alias("_at"))
+    named = steps.join(nodes.select(F.col(node).alias("_at"), F.col(label).alias("_label")), "_at")
+    listed = named.groupBy("_node", "depth").agg(
+        F.sort_array(F.collect_list(F.struct("_step", "_label")), asc=False).alias("_steps"))
+    labels = F.transform("_steps", lambda step: step["_label"])
+    whole = F.when(F.forall(labels, lambda name: name.isNotNull()), F.array_join(labels, separator))
+    return listed.select(F.col("_node").alias(node), "depth", whole.alias("Path"))

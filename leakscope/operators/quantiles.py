@@ -1,9 +1,10 @@
 """Exact interpolated quantiles of decimal columns for groups of any size.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer. A
-group with a third of all rows would be handled by one task, so the ranks are
-located in two steps that are both bounded: first in bands of 2^20 smallest
-units, then among the values of the few bands that hold a wanted rank.
+Spark's ``percentile`` keeps every distinct value of a group in one buffer. A group with a third of all rows would be
+handled by one task, so the wanted ranks are narrowed down by histograms instead. The first has wide bands of values, a
+count for each group and band, added up before the shuffle; running sums over a group's few bands tell which of them
+hold a wanted rank. Only rows of those bands are counted again in narrower bands, at last of one value each. What is
+shuffled are counts of bands, never the groups' values.
 """
 
 from __future__ import annotations
@@ -13,7 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BAND_BITS = 20
+from leakscope.sources.storage import cut
+
+#: The bands' widths in bits of the smallest unit, for amounts in cents; the last ones are single values.
+WIDTHS = (14, 0)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
@@ -23,66 +27,58 @@ def join_null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Dat
     return left.join(renamed, same).drop(*[f"_right_{c}" for c in columns])
 
 
-def value_counts(df: DataFrame, by: list[str], value: str, counted: Column | None = None) -> DataFrame:
-    """Distinct (group, value) with its number of ``counted`` rows; combined before the shuffle."""
-    present = F.col(value).isNotNull() if counted is None else counted & F.col(value).isNotNull()
-    return df.groupBy(*by, value).agg(F.count_if(present).alias("copies")).where("copies > 0")
+def _position(p: float) -> Column:
+    return F.lit(p) * (F.col("_total") - 1)
+
+
+def _bands(counted: DataFrame, by: list[str], start: Column, total: Column | None) -> DataFrame:
+    """Bands of a histogram with the number of values before them in their group, and in the whole group."""
+    in_order = Window.partitionBy(*by).orderBy("_band")
+    return counted.withColumn("_total", F.sum("_inside").over(Window.partitionBy(*by)) if total is None else total) \
+        .withColumn("_before", start + F.sum("_inside").over(in_order) - F.col("_inside"))
 
 
-def quantiles_of_counts(
-    counts: DataFrame, by: list[str], value: str, scale: int, wanted: dict[str, float]
+def quantiles(
+    rows: DataFrame, by: list[str], value: str, scale: int, wanted: dict[str, float], widths: tuple[int, ...] = ()
 ) -> DataFrame:
-    """One row per group with a double column per wanted quantile.
+    """One row per group with a double column per wanted quantile of ``value``; NULL values don't count.
 
-    ``counts`` comes from :func:`value_counts`; ``scale`` is the number of
-    decimals of ``value``. A quantile p lies at position p * (n - 1) and is
-    interpolated between the two values around it.
+    ``scale`` is the number of decimals of ``value``. A quantile p lies at position p * (n - 1) and is interpolated
+    between the two values around it. ``rows`` is read once for each of ``widths``, so it should be stored.
     """
-    unit = F.lit(10**scale)
-    counted = counts.select(*by, (F.col(value) * unit).cast("bigint").alias("_units"), "copies")
-    banded = counted.withColumn("_band", F.shiftright("_units", _BAND_BITS))
-
-    in_order = Window.partitionBy(*by).orderBy("_band")
-    whole = Window.partitionBy(*by)
-    bands = (
-        banded.groupBy(*by, "_band")
-        .agg(F.sum("copies").alias("_inside"))
-        .withColumn("_before", F.sum("_inside").over(in_order) - F.col("_inside"))
-        .withColumn("_total", F.sum("_inside").over(whole))
-    )
-
-    def position(p: float) -> Column:
-        return F.lit(p) * (F.col("_total") - 1)
-
-    def holds(rank: Column, start: Column, length: Column) -> Column:
-        return (rank >= start) & (rank < start + length)
-
-    ranks = {}
-    for name, p in wanted.items():
-        ranks[f"{name}_low"] = F.floor(position(p))
-        ranks[f"{name}_high"] = F.ceil(position(p))
-    needed = reduce(
-        lambda a, b: a | b, [holds(rank, F.col("_before"), F.col("_inside")) for rank in ranks.values()]
-    )
-    needed_bands = bands.where(needed).select(*by, "_band", "_before", "_total")
-
-    inside_band = Window.partitionBy(*by, "_band").orderBy("_units")
-    candidates = join_null_safe(banded, needed_bands, [*by, "_band"]).withColumn(
-        "_start", F.col("_before") + F.sum("copies").over(inside_band) - F.col("copies")
-    )
-    picked = candidates.groupBy(*by).agg(
+    units = rows.where(F.col(value).isNotNull()).select(
+        *by, (F.col(value) * F.lit(10**scale)).cast("bigint").alias("_units"))
+    ranks = {f"{name}_{end}": f(_position(p)) for name, p in wanted.items()
+             for end, f in (("low", F.floor), ("high", F.ceil))}
+
+    def holds(rank: Column) -> Column:
+        return (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_inside"))
+
+    needed = reduce(lambda a, b: a | b, [holds(rank) for rank in ranks.values()])
+    found, before = None, 0
+    for bits in widths or WIDTHS:
+        band = F.shiftright("_units", bits).alias("_band")
+        if found is None:
+            counted = units.groupBy(*by, band).agg(F.count(F.lit(1)).alias("_inside"))
+            histogram = _bands(counted, by, F.lit(0), None)
+        else:
+            # Each wider band that holds a rank is counted anew; ranks go on from what lies before it.
+            wide = found.withColumnRenamed("_band", "_wide").select(*by, "_wide", "_before", "_total")
+            inside = join_null_safe(units.withColumn("_wide", F.shiftright("_units", before)), wide,
+                                    [*by, "_wide"])
+            counted = inside.groupBy(*by, "_wide", "_before", "_total", band).agg(
+                F.count(F.lit(1)).alias("_inside"))
+            histogram = _bands(counted.withColumnRenamed("_before", "_start"), [*by, "_wide"], F.col("_start"),
+                               F.col("_total"))
+        found = cut(histogram.where(needed).select(*by, "_band", "_inside", "_before", "_total"), "bands")
+        before = bits
+    picked = found.groupBy(*by).agg(
         F.max("_total").alias("_total"),
-        *[
-            F.max(F.when(holds(rank, F.col("_start"), F.col("copies")), F.col("_units"))).alias(name)
-            for name, rank in ranks.items()
-        ],
-    )
-
-    def amount(name: str) -> Column:
-        return F.col(name) / F.lit(float(10**scale))
+        *[F.max(F.when(holds(rank), F.col("_band"))).alias(name) for name, rank in ranks.items()])
 
     def interpolated(name: str, p: float) -> Column:
-        low, high = amount(f"{name}_low"), amount(f"{name}_high")
-        return low + (high - low) * (position(p) - F.floor(position(p)))
+        # In smallest units, where quartiles are exact, so that only the division rounds.
+        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
+        return (low + (high - low) * (_position(p) - F.floor(_position(p)))) / F.lit(float(10**scale))
 
     return picked.select(*by, *[interpolated(name, p).alias(name) for name, p in wanted.items()])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leakscope import config
 from leakscope.functions.money import truncated_avg
-from leakscope.operators.quantiles import quantiles_of_counts, value_counts
+from leakscope.operators.quantiles import quantiles
 from leakscope.plans import clues
 from leakscope.sources.storage import cut
 
@@ -69,8 +69,9 @@ def bi_adjuster_performance(adjusters: DataFrame, claims: DataFrame) -> DataFram
         ),
         "adjuster-figures",
     )
-    averages = value_counts(measured.withColumn("_all", F.lit(0)), ["_all"], "avg_severity")
-    quartiles = quantiles_of_counts(averages, ["_all"], "avg_severity", 6, {"q1": 0.25, "q3": 0.75})
+    averages = measured.select(F.lit(0).alias("_all"), "avg_severity")
+    # Bands of some thousand units first, so all adjusters together are a few bands.
+    quartiles = quantiles(averages, ["_all"], "avg_severity", 6, {"q1": 0.25, "q3": 0.75}, widths=(32, 16, 0))
     fence = quartiles.select(F.col("q3") + (F.col("q3") - F.col("q1")) * config.IQR_FACTOR).scalar()
     whole = measured.agg(F.sum("claim_count")).scalar()
     return (

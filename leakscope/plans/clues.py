@@ -17,13 +17,12 @@ from leakscope.config import KeywordRule, first_day_not_before, years_before
 from leakscope.functions.dates import quarter_start
 from leakscope.functions.money import from_micro, micro_avg, relative_change, truncated_avg
 from leakscope.functions.text import canon_key, has_phrases
-from leakscope.operators.copies import expand_copies
-from leakscope.operators.hierarchy import paths_from_roots
-from leakscope.operators.quantiles import join_null_safe, quantiles_of_counts, value_counts
-from leakscope.plans.core import is_readable
+from leakscope.operators.hierarchy import climb, depths, paths
+from leakscope.operators.quantiles import join_null_safe, quantiles
+from leakscope.plans.core import claim_column, claims_for, is_readable
 from leakscope.sources.storage import cut
 
-DUPLICATE_KEY = ["claim_id", "payment_date", "_cost_type", "amount", "_check_number"]
+DUPLICATE_KEY = ["payment_date", "_cost_type", "amount", "_check_number"]
 
 
 def severity() -> Column:
@@ -93,9 +92,10 @@ def leakage_scores(
     payments are added up per claim, and the sums before the join.
     """
     since = first_day_not_before(as_of - timedelta(days=quiet_days))
+    by = claim_column(payments)
     recent = (
         payments.where(F.col("payment_date") >= F.lit(since))
-        .groupBy("claim_id")
+        .groupBy(by)
         .agg(F.sum("amount").alias("_recent"))
     )
     paid = F.coalesce(F.col("_recent"), F.lit(0)).cast("decimal(28,2)")
@@ -103,10 +103,10 @@ def leakage_scores(
     quiet = F.coalesce((F.col("total_paid_90") == 0) & (F.col("reserve_total") > 0), F.lit(False))
     high = reserve_is_high(as_of, age, ratio)
     return (
-        claims.join(recent, "claim_id", "left")
+        claims_for(payments, claims).join(recent, by, "left")
         .withColumn("total_paid_90", paid)
         .select(
-            "claim_id", "claim_number", "loss_date", "status",
+            *[c for c in ("claim_id",) if c in claims.columns], "claim_number", "loss_date", "status",
             age_days(as_of).alias("loss_age_days"),
             "paid_total", "reserve_total", "total_paid_90",
             (F.when(high, one).otherwise(zero) + F.when(quiet, half).otherwise(zero))
@@ -135,7 +135,7 @@ def duplicate_groups(payments: DataFrame) -> DataFrame:
     groups of two or more go on.
     """
     spelled = payments.withColumns({f"_{c}": F.expr(canon_key(c)) for c in ("cost_type", "check_number")})
-    groups = spelled.groupBy(*DUPLICATE_KEY).agg(
+    groups = spelled.groupBy(claim_column(payments), *DUPLICATE_KEY).agg(
         F.count_if(is_readable()).alias("dup_count"),
         # Rows that are not counted don't lend the group their spelling either.
         *[F.min(F.when(is_readable(), F.col(c))).alias(c) for c in ("cost_type", "check_number")])
@@ -143,9 +143,10 @@ def duplicate_groups(payments: DataFrame) -> DataFrame:
 
 
 def clue3_duplicate_payments(claims: DataFrame, payments: DataFrame) -> DataFrame:
+    by = claim_column(payments)
     return (
         duplicate_groups(payments)
-        .join(claims.select("claim_id", "claim_number"), "claim_id")
+        .join(claims_for(payments, claims).select(by, "claim_number"), by)
         .select("claim_number", "payment_date", "cost_type", "amount", "check_number", "dup_count")
         .orderBy(F.col("dup_count").desc(), F.col("amount").desc_nulls_last(), "claim_number", "check_number")
     )
@@ -154,25 +155,25 @@ def clue3_duplicate_payments(claims: DataFrame, payments: DataFrame) -> DataFram
 def clue4_vendor_outliers(payments: DataFrame, k: float = config.IQR_FACTOR, side: str = "both") -> DataFrame:
     """Payments outside the interquartile fences of their vendor, repeats included.
 
-    Works on distinct (vendor, amount) with their number of payments. They are
-    written once and read three times, so the payments are cleaned and shuffled
-    only once. Spellings that differ in letter case are one vendor, and each
-    payment shows its own.
+    Spellings that differ in letter case are one vendor, and each payment shows its own. Conformed payments are written
+    once, so that they are cleaned only once; stored ones are read as they are, and only their two columns.
     """
-    counts = cut(value_counts(payments, ["vendor_id"], "amount", is_readable()), "vendor-amounts")
-    counts = counts.withColumn("_vendor", F.expr(canon_key("vendor_id")))
-    of_vendor = counts.groupBy("_vendor", "amount").agg(F.sum("copies").alias("copies"))
-    quartiles = quantiles_of_counts(of_vendor, ["_vendor"], "amount", 2, {"q1": 0.25, "q3": 0.75})
+    rows = payments.select(
+        "vendor_id", "amount", F.expr(canon_key("vendor_id")).alias("_vendor"), is_readable().alias("_readable"))
+    if claim_column(payments) == "claim_key":
+        rows = cut(rows, "vendor-amounts")
+    rows = rows.where("_readable").drop("_readable")
+    quartiles = quantiles(rows, ["_vendor"], "amount", 2, {"q1": 0.25, "q3": 0.75})
     amount, spread = F.col("amount").cast("double"), F.col("q3") - F.col("q1")
     outside = {
         "high": amount > F.col("q3") + spread * k,
         "low": amount < F.col("q1") - spread * k,
     }
     wanted = outside["high"] | outside["low"] if side == "both" else outside[side]
-    outliers = join_null_safe(counts, quartiles, ["_vendor"]).drop("_vendor").where(wanted)
     return (
-        expand_copies(outliers, "copies", "_copy")
-        .orderBy(F.col("amount").desc(), "vendor_id", "_copy")
+        join_null_safe(rows, quartiles, ["_vendor"])
+        .where(wanted)
+        .orderBy(F.col("amount").desc(), "vendor_id")
         .select("vendor_id", "amount", "q1", "q3")
     )
 
@@ -186,12 +187,16 @@ def claims_per_adjuster(claims: DataFrame) -> DataFrame:
     )
 
 
-def adjuster_tree(adjusters: DataFrame, max_depth: int = config.MAX_HIERARCHY_DEPTH) -> DataFrame:
-    return paths_from_roots(adjusters, "adjuster_id", "supervisor_id", "full_name", max_depth)
+def adjuster_depths(adjusters: DataFrame, max_depth: int = config.MAX_HIERARCHY_DEPTH) -> DataFrame:
+    """(adjuster_id, depth) of the adjusters below those without a supervisor."""
+    return depths(climb(adjusters, "adjuster_id", "supervisor_id", max_depth), "adjuster_id")
 
 
-def _tree_with_claims(adjusters: DataFrame, claims: DataFrame, max_depth: int) -> DataFrame:
-    return adjuster_tree(adjusters, max_depth).join(claims_per_adjuster(claims), "adjuster_id", "left")
+def adjuster_tree(adjusters: DataFrame, max_depth: int = config.MAX_HIERARCHY_DEPTH) -> DataFrame:
+    """The adjusters of :func:`adjuster_depths` with depth and Path."""
+    rounds = climb(adjusters, "adjuster_id", "supervisor_id", max_depth)
+    found = paths(rounds, adjusters, "adjuster_id", "full_name")
+    return adjusters.join(found, "adjuster_id")
 
 
 def clue5_adjuster_hierarchy(
@@ -204,7 +209,8 @@ def clue5_adjuster_hierarchy(
     """
     no_claims = F.lit(0).cast("decimal(38,6)")
     return (
-        _tree_with_claims(adjusters, claims, max_depth)
+        adjuster_tree(adjusters, max_depth)
+        .join(claims_per_adjuster(claims), "adjuster_id", "left")
         .select(
             "adjuster_id", "full_name", "supervisor_id", "Path",
             F.coalesce("_claims", F.lit(0)).alias("claim_count"),
@@ -219,7 +225,8 @@ def clue5_severity_by_tier(
 ) -> DataFrame:
     """Average severity of all claims of each depth of the hierarchy."""
     return (
-        _tree_with_claims(adjusters, claims, max_depth)
+        adjuster_depths(adjusters, max_depth)
+        .join(claims_per_adjuster(claims), "adjuster_id", "left")
         .groupBy("depth")
         .agg(
             F.count(F.lit(1)).alias("adjusters"),
@@ -240,7 +247,7 @@ def clue5_unreachable_adjusters(
     adjusters: DataFrame, max_depth: int = config.MAX_HIERARCHY_DEPTH
 ) -> DataFrame:
     """Adjusters the hierarchy never reaches, because of a cycle above them."""
-    reached = adjuster_tree(adjusters, max_depth).select("adjuster_id")
+    reached = adjuster_depths(adjusters, max_depth).select("adjuster_id")
     return (
         adjusters.join(reached, "adjuster_id", "left_anti")
         .select("adjuster_id", "full_name", "supervisor_id")
@@ -255,16 +262,17 @@ def flagged_claims(
 
     Notes without any flag cannot matter and stop at the scan.
     """
-    flags = [rule.flag for rule in rules]
-    marked = notes.selectExpr("claim_id", *[f"{has_phrases('note_text', rule)} AS {rule.flag}" for rule in rules])
+    flags, by = [rule.flag for rule in rules], claim_column(notes)
+    marked = notes.selectExpr(by, *[f"{has_phrases('note_text', rule)} AS {rule.flag}" for rule in rules])
     per_claim = (
         marked.where(" OR ".join(flags))
-        .groupBy("claim_id")
+        .groupBy(by)
         .agg(*[F.max(F.col(flag).cast("int")).alias(flag) for flag in flags])
     )
-    return per_claim.join(claims.select("claim_id", severity().alias("incurred")), "claim_id").select(
-        "claim_id", *flags, "incurred"
-    )
+    # The number of a claim is shown where the claims have it; sums over flagged claims do without.
+    shown = [c for c in ("claim_id",) if c in claims.columns]
+    known = claims_for(notes, claims).select(*{by: None, **dict.fromkeys(shown)}, severity().alias("incurred"))
+    return per_claim.join(known, by).select(*shown, *flags, "incurred")
 
 
 def clue6_notes_flags(

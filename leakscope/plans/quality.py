@@ -8,8 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leakscope.config import CLAIM_KEY
-from leakscope.functions.text import canon_key, parent_number
+from leakscope.functions.text import canon_key
 from leakscope.plans.core import conform_payments, is_readable, unique_claims
 from leakscope.sources import schemas
 
@@ -71,15 +70,15 @@ def qc_rejected_rows(staged: Mapping[str, DataFrame], core: Mapping[str, DataFra
     def known(keys: DataFrame, flag: str) -> DataFrame:
         return keys.distinct().withColumn(flag, F.lit(True))
 
-    policy_keys = core["core_policies"].selectExpr(f"{canon_key('policy_number')} AS _policy_key")
-    adjuster_keys = core["core_adjuster"].selectExpr(f"{canon_key('adjuster_ext_id')} AS _adjuster_key")
-    claim_ids = known(core["core_claims"].select("claim_id"), "_claim")
+    policy_keys = core["core_policies"].selectExpr(f"{canon_key('policy_number')} AS policy_key")
+    adjuster_keys = core["core_adjuster"].selectExpr(f"{canon_key('adjuster_ext_id')} AS adjuster_key")
+    claim_keys = known(core["core_claims"].selectExpr(f"{canon_key('claim_number')} AS claim_key"), "_claim")
     unknown_claim = F.col("_claim").isNull()
 
     claims = (
         unique_claims(staged["staged_claims"])
-        .join(known(policy_keys, "_policy"), "_policy_key", "left")
-        .join(known(adjuster_keys, "_adjuster"), "_adjuster_key", "left")
+        .join(known(policy_keys, "_policy"), "policy_key", "left")
+        .join(known(adjuster_keys, "_adjuster"), "adjuster_key", "left")
     )
     repeated = (
         staged["staged_claims"].select(F.lit(1).alias("_sign"))
@@ -87,10 +86,10 @@ def qc_rejected_rows(staged: Mapping[str, DataFrame], core: Mapping[str, DataFra
         .agg(F.coalesce(F.sum("_sign"), F.lit(0)).alias("cnt"))
         .select(F.lit("claims_repeated").alias("issue"), "cnt")
     )
-    payments = conform_payments(staged["staged_payments"]).join(claim_ids, "claim_id", "left")
+    payments = conform_payments(staged["staged_payments"]).join(claim_keys, "claim_key", "left")
     notes = staged["staged_notes"].selectExpr(
-        f"{parent_number('claim_number', CLAIM_KEY)} AS claim_id", "note_text IS NULL AS _empty"
-    ).join(claim_ids, "claim_id", "left")
+        f"{canon_key('claim_number')} AS claim_key", "note_text IS NULL AS _empty"
+    ).join(claim_keys, "claim_key", "left")
     return _union(
         [
             repeated,

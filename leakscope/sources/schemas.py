@@ -60,6 +60,9 @@ CORE = {
     "core_notes": _typed(note_id="id", claim_id="id", note_time="time", author="text", note_text="text"),
 }
 
+# The dictionary of each kind of business key, stored beside the core tables.
+NUMBERS = _typed(key="text", number="id")
+
 MART = {
     "claim_risk_signals": T.StructType([
         *_typed(claim_number="text", lob="text", loss_state="text", paid_total="money", reserve_total="money",

@@ -1,8 +1,8 @@
 """The five messy staging tables, derived from the given test tables.
 
-The rules are deterministic and reproduce every kind of mess the cleaning has
-to cope with: mixed date spellings, odd casing and blanks, NULL in disguise,
-a misspelt cost type and waves of duplicate rows.
+The rules are deterministic and have every kind of mess the cleaning has to cope with: dates and amounts in many
+spellings, keys of several widths and forms, odd letter case and blanks, NULL in disguise, a misspelt cost type,
+unknown parents and repeated rows. Which kind a value gets is drawn from a hash of its row's key, by own shares.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ from leakscope.operators.copies import append_copies
 from leakscope.operators.project import project
 from leakscope.sources import schemas
 
-_US, _ISO, _NAMED = "MM/dd/yyyy", "yyyy-MM-dd", "dd-MMM-yyyy"
+# A multiplicative hash modulo a prime; each multiplier yields three draws of 0 to 255.
+_PRIME = 2147483647
+_MULTIPLIERS = (1944334129, 1226874159, 950706376, 742938285, 1343714438)
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,127 +29,182 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.TEST_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _by_step(number: str, values: dict[int, str], otherwise: str) -> str:
-    """The value of the first step that divides the number."""
-    cases = " ".join(f"WHEN {number} % {step} = 0 THEN {value}" for step, value in values.items())
-    return f"CASE {cases} ELSE {otherwise} END"
+class _Draws:
+    """Independent draws of 0 to 255 for one row, as SQL, from the SQL of its number."""
+
+    def __init__(self, number: str):
+        self.number, self.made = number, 0
 
+    def __call__(self) -> str:
+        group, digit = divmod(self.made, 3)
+        self.made += 1
+        return f"((({self.number}) % {_PRIME}) * {_MULTIPLIERS[group]} % {_PRIME} div {256 ** digit} % 256)"
 
-def _by_value(column: str, values: dict[str, str], otherwise: str) -> str:
-    cases = " ".join(f"WHEN '{value}' THEN '{result}'" for value, result in values.items())
-    return f"CASE {column} {cases} ELSE '{otherwise}' END"
+
+def _kinds(draw: str, *kinds: tuple[int, str], otherwise: str) -> str:
+    """The SQL of the first kind whose limit is above the draw."""
+    cases = " ".join(f"WHEN {draw} < {limit} THEN {value}" for limit, value in kinds)
+    return f"CASE {cases} ELSE {otherwise} END"
 
 
 def _key(prefix: str, number: str) -> str:
-    return f"concat('{prefix}', {pad_number(number, 9)})"
+    """A business key in nine digits, six digits or a free form, always the same one for a number."""
+    form = f"(({number}) * {_MULTIPLIERS[0]} % {_PRIME} div 1000 % 20)"
+    nine, six = (f"concat('{prefix}', {pad_number(number, width)})" for width in (9, 6))
+    return f"CASE WHEN {form} < 11 THEN {nine} WHEN {form} < 17 THEN {six} ELSE concat('{prefix}/', {number}, '-x') END"
 
 
 def _labelled(prefix: str, number: str) -> str:
-    return f"concat_ws('', '{prefix}', cast({number} AS string))"
+    return f"concat('{prefix}', {number})"
 
 
-def _dollars(number: str) -> str:
-    return f"concat(cast(floor({number}) AS string), '.000000')"
+def _spelled(draw: str, day: str) -> str:
+    """A day as text, in one of eleven spellings."""
+    def shown(pattern: str) -> str:
+        return f"date_format({day}, '{pattern}')"
 
+    iso = shown("yyyy-MM-dd")
+    return _kinds(
+        draw, (50, iso), (85, shown("MM/dd/yyyy")), (110, shown("M/d/yyyy")), (140, shown("dd-MMM-yyyy")),
+        (160, shown("yyyyMMdd")), (180, f"concat({iso}, ' 08:15')"), (196, f"concat({iso}, 'T23:05:09.1234567')"),
+        (212, shown("yyyy/MM/dd")), (226, shown("MM-dd-yyyy")), (240, shown("MMM d, yyyy")), otherwise=shown("M/d/yy"))
 
-def _spelled(day: str, spelling: str) -> str:
-    return f"date_format({day}, '{spelling}')"
+
+def _money(draw: str, cents: str) -> str:
+    """An amount as text: plain, with dollar sign and commas, between blanks, empty, or no amount at all."""
+    rest = f"concat('.', lpad({cents} % 100, 2, '0'))"
+    plain = f"concat({cents} div 100, {rest})"
+    return _kinds(
+        draw, (160, plain), (196, f"concat('$', format_number({cents} div 100, 0), {rest})"),
+        (212, f"concat(' ', {plain}, '  ')"), (226, "''"), (238, "'NULL'"), (248, "'tbd'"), otherwise="NULL")
 
 
 def stage_policies(customer: DataFrame, as_of: datetime = FIXTURE_AS_OF) -> DataFrame:
-    i = "(c_custkey + 1)"
-    start = f"date_sub(DATE '{as_of:%Y-%m-%d}', cast({i} % 1200 AS int))"
+    n = "(c_custkey + 11)"
+    draw = _Draws(n)
+    key, start = _key("POL", n), f"date_sub(DATE '{as_of:%Y-%m-%d}', cast({n} * 37 % 1461 AS int))"
     return project(
         customer,
-        policy_number=_key("POL", i),
-        insured_name="c_name",
-        lob=_by_step(i, {7: "'gl'", 11: "'Wc '", 3: "'WC'"}, "'GL'"),
-        effective_date=_by_step(i, {5: _spelled(start, _US), 9: _spelled(start, _ISO)}, _spelled(start, _NAMED)),
-        expiration_date=_by_step(i, {8: "''", 10: "'NULL'"}, _spelled(f"date_add({start}, 365)", _ISO)),
-        state=_by_step(i, {6: "'il '", 4: "'wi'"}, "'IL'"),
-        broker_code=_labelled("BRK", f"{i} % 300 + 1"),
+        policy_number=_kinds(draw(), (24, f"lower({key})"), (48, f"concat({key}, ' ')"), otherwise=key),
+        insured_name=_kinds(draw(), (20, "''"), (60, "concat('  ', c_name, ' ')"), otherwise="c_name"),
+        lob=_kinds(draw(), (70, "'WC'"), (90, "' wc'"), (110, "'w c'"), (180, "'GL'"), (200, "'gl  '"), (216, "''"),
+                   (228, "NULL"), otherwise="'Auto'"),
+        effective_date=_spelled(draw(), start),
+        expiration_date=_kinds(draw(), (20, "NULL"), (40, "'until cancelled'"), (60, "''"),
+                               otherwise=f"date_format(date_add({start}, 364), 'yyyyMMdd')"),
+        state=_kinds(draw(), (80, "'IL'"), (120, "' wi '"), (150, "'Wisconsin'"), (190, "'illinois'"), (220, "'IA'"),
+                     (240, "'Ohio'"), otherwise="''"),
+        broker_code=_kinds(draw(), (16, "'  '"), otherwise=_labelled("BR-", f"{n} % 71")),
     )
 
 
 def stage_claims(orders: DataFrame, n_adjusters: int | Column) -> DataFrame:
-    """Claims with a second copy of every fiftieth row.
+    """Claims, some of them a second time under another spelling of their number.
 
-    ``n_adjusters`` is a number or a one-value subquery such as
-    ``supplier.agg(count).scalar()``.
+    ``n_adjusters`` is a number or a one-value subquery such as ``supplier.agg(count).scalar()``.
     """
-    i, loss = "(o_orderkey + 1)", "cast(o_orderdate AS date)"
-    n = n_adjusters if isinstance(n_adjusters, Column) else F.lit(n_adjusters)
+    n, loss, cents = "(o_orderkey + 5)", "cast(o_orderdate AS date)", "cast(floor(o_totalprice * 100) AS bigint)"
+    draw = _Draws(n)
+    size = n_adjusters if isinstance(n_adjusters, Column) else F.lit(n_adjusters)
+    key, policy, adjuster = _key("CLM", n), _key("POL", "(o_custkey + 11)"), _key("ADJ", "_adjuster")
+    half = draw()
     claims = project(
-        orders.withColumn("_adjuster", F.col("o_orderkey") % n + 1),
-        claim_number=_key("CLM", i),
-        policy_number=_key("POL", "(o_custkey + 1)"),
-        loss_date=_by_step(i, {5: _spelled(loss, _US), 7: "'NULL'"}, _spelled(loss, _ISO)),
-        report_date=_by_step(i, {6: "''"}, _spelled(f"date_add({loss}, cast({i} % 10 AS int))", _NAMED)),
-        injury_cause=_by_step(i, {9: "'Slip/Trip'", 13: "'Overexertion'"}, "'Struck-By'"),
-        body_part=_by_step(i, {8: "'Back'", 10: "'Shoulder'"}, "'Hand'"),
-        claimant_id=_key("P", i),
-        loss_state=_by_step(i, {3: "'wi'"}, "'IL'"),
-        incurred_total=_by_step(i, {11: "'N/A'"}, _dollars("floor(o_totalprice) % 20000")),
-        paid_total=_by_step(i, {12: "''"}, _dollars("floor(o_totalprice) % 12000")),
-        reserve_total=_by_step(i, {14: "'NULL'"}, _dollars("floor(o_totalprice * 7) % 18000")),
-        status=_by_value("o_orderstatus", {"O": "open", "F": "Closed"}, "Litigation"),
-        adjuster_ext_id=_key("A", "_adjuster"),
-        _again=f"{i} % 50 = 0",
+        orders.withColumn("_adjuster", (F.col("o_orderkey") + 5) * 13 % size + 3),
+        claim_number=_kinds(draw(), (20, f"lower({key})"), (40, f"concat({key}, '   ')"), (60, f"concat(' ', {key})"),
+                            otherwise=key),
+        policy_number=_kinds(draw(), (6, _labelled("POL?", "o_custkey")), (30, f"lower({policy})"),
+                             (50, f"concat(' ', {policy}, ' ')"), otherwise=policy),
+        loss_date=_kinds(draw(), (18, "'NULL'"), (24, "'not known'"), otherwise=_spelled(draw(), loss)),
+        report_date=_kinds(draw(), (30, "''"), (40, "NULL"),
+                           otherwise=_spelled(draw(), f"date_add({loss}, cast({n} % 17 AS int))")),
+        injury_cause=_kinds(draw(), (70, "'Fall'"), (130, "'Strain'"), (180, "' Vehicle '"), (200, "''"),
+                            otherwise="'Burn'"),
+        body_part=_kinds(half, (80, "'Knee'"), (150, "'Wrist'"), (220, "'Neck'"), otherwise="NULL"),
+        claimant_id=_labelled("CT", "o_custkey * 3 + 1"),
+        loss_state=_kinds(draw(), (90, "'IL'"), (130, "'wi'"), (160, "'Madison, WI'"), (190, "'Peoria il '"),
+                          (220, "'MN'"), (240, "''"), otherwise="NULL"),
+        incurred_total=_money(draw(), f"({cents} % 2500000)"),
+        paid_total=_money(draw(), f"({cents} div 7 % 900000)"),
+        reserve_total=_money(draw(), f"({cents} div 3 % 2100000)"),
+        status=f"CASE o_orderstatus WHEN 'O' THEN if({half} < 128, 'open', ' OPEN') "
+               f"WHEN 'F' THEN if({half} < 128, 'Closed', 'closed ') ELSE if({half} < 128, 'In suit', NULL) END",
+        adjuster_ext_id=_kinds(draw(), (4, "'ADJ-temp'"), (30, f"concat(lower({adjuster}), ' ')"),
+                               otherwise=adjuster),
+        _again=f"{draw()} < 7",
     )
-    return append_copies(claims, "_again").drop("_again")
+    twice = append_copies(claims, "_again", number="_copy")
+    return twice.withColumn("claim_number", F.expr("if(_copy = 1, concat(lower(claim_number), ' '), claim_number)")).drop(
+        "_again", "_copy")
 
 
 def stage_adjuster(supplier: DataFrame, as_of: datetime = FIXTURE_AS_OF) -> DataFrame:
-    """Adjusters in a tree of four reports each; every tenth supervises itself."""
-    i = "(s_suppkey + 1)"
-    hired = f"date_sub(DATE '{as_of:%Y-%m-%d}', cast({i} % 3650 AS int))"
-    above = _by_step(i, {10: _key("A", i)}, _key("A", f"(({i} - 1) div 4 + 1)"))
+    """Adjusters in a tree of three reports each, some alone in a cycle, some in pairs, some under unknown ones."""
+    n = "(s_suppkey + 3)"
+    draw = _Draws(n)
+    key = _key("ADJ", n)
+    hired = f"date_sub(DATE '{as_of:%Y-%m-%d}', cast({n} * 53 % 4000 AS int))"
+    above = _key("ADJ", "((s_suppkey - 1) div 3 + 3)")
     return project(
         supplier,
-        adjuster_ext_id=_key("A", i),
+        adjuster_ext_id=_kinds(draw(), (30, f"lower({key})"), (60, f"concat({key}, '  ')"), otherwise=key),
         full_name="s_name",
-        hire_date=_by_step(i, {9: "''"}, _spelled(hired, _ISO)),
-        office=_by_step(i, {3: "'Milwaukee'", 5: "'Chicago'"}, "'Madison'"),
-        supervisor_ext_id=f"if({i} = 1, NULL, {above})",
+        hire_date=_kinds(draw(), (25, "''"), otherwise=_spelled(draw(), hired)),
+        office=_kinds(draw(), (90, "'Peoria'"), (160, "'Green Bay '"), (220, "'Duluth'"), (235, "''"),
+                      otherwise="NULL"),
+        supervisor_ext_id=f"CASE WHEN s_suppkey = 0 THEN NULL WHEN s_suppkey % 29 = 17 THEN lower({key}) "
+                          f"WHEN s_suppkey % 31 = 20 THEN 'ADJ-gone' "
+                          f"WHEN s_suppkey % 37 = 23 THEN {_key('ADJ', '(s_suppkey + 4)')} "
+                          f"WHEN s_suppkey % 37 = 24 THEN {_key('ADJ', '(s_suppkey + 2)')} "
+                          f"ELSE concat({above}, ' ') END",
     )
 
 
 def stage_payments(lineitem: DataFrame) -> DataFrame:
-    """Payments with a second copy of about one row in a hundred."""
-    j, paid = "(l_orderkey + 1)", "cast(l_shipdate AS date)"
+    """Payments, about one in sixty of them twice."""
+    draw = _Draws("l_orderkey * 8 + l_linenumber + l_partkey * 1009")
+    key, cents = _key("CLM", "(l_orderkey + 5)"), "cast(floor(l_extendedprice * l_discount * 100) AS bigint)"
+    cost, check = draw(), "concat('CK', l_partkey)"
     payments = project(
         lineitem,
-        payment_ext_id=f"concat({_key('PMT', 'l_orderkey')}, '-', cast(l_linenumber AS string))",
-        claim_number=_key("CLM", j),
-        payment_date=_by_step(j, {5: _spelled(paid, _US), 7: _spelled(paid, _ISO)}, _spelled(paid, _NAMED)),
-        payee_type=_by_step("l_partkey", {11: "'Vendor'"}, "'Provider'"),
-        vendor_id=_labelled("V", "(l_suppkey + 1)"),
-        cost_type=_by_value("l_returnflag", {"A": "Indemnty", "N": "Medical"}, "Indemnity"),
-        cost_category=_by_value("l_linestatus", {"O": "Other"}, "Treatment"),
-        amount=_by_step("(l_orderkey * 7 + l_partkey)", {19: "'NULL'"}, _dollars("l_extendedprice * l_discount")),
-        check_number=_labelled("CHK", "(l_partkey + 1)"),
-        _again="(l_orderkey * 31 + l_linenumber * 7 + l_partkey) % 100 = 0",
+        payment_ext_id="concat('PAY', l_orderkey, '-', l_linenumber)",
+        claim_number=_kinds(draw(), (16, f"lower({key})"), (36, f"concat({key}, '  ')"), (40, f"concat(' ', {key})"),
+                            (43, _labelled("CLM#", "l_orderkey")), (45, "NULL"), otherwise=key),
+        payment_date=_kinds(draw(), (6, "'pending'"), (9, "NULL"),
+                            otherwise=_spelled(draw(), "cast(l_shipdate AS date)")),
+        payee_type=_kinds(draw(), (100, "'provider'"), (160, "'Vendor '"), (200, "'Attorney'"), (230, "'claimant'"),
+                          (240, "''"), otherwise="NULL"),
+        vendor_id=_kinds(draw(), (30, _labelled("vn", "l_suppkey")), (36, "''"), otherwise=_labelled("VN", "l_suppkey")),
+        cost_type=f"CASE l_returnflag WHEN 'A' THEN if({cost} < 128, 'Indemnty', 'indemnty ') "
+                  f"WHEN 'N' THEN if({cost} < 200, 'Medical', 'medical') ELSE 'Indemnity' END",
+        cost_category=f"CASE WHEN l_linestatus = 'O' THEN 'Other' WHEN {cost} < 60 THEN 'rehab' ELSE 'Treatment' END",
+        amount=_money(draw(), cents),
+        check_number=_kinds(draw(), (40, f"lower({check})"), (50, "''"), otherwise=check),
+        _again=f"{draw()} < 4",
     )
     return append_copies(payments, "_again").drop("_again")
 
 
-# The sentence a note has for each kind of event.
-_SENTENCES = {
-    "signup": "Potential subrogation opportunity not pursued.",
-    "error": "Late FNOL. Reported after 20 days.",
-    "purchase": "Duplicate billing suspected by vendor.",
-    "click": "Litigation hold. Reserve to be increased.",
-}
-
-
 def stage_notes(events: DataFrame, n_claims: int | Column) -> DataFrame:
+    """Notes; the phrases that raise flags are those of the settings, the sentences around them are made up."""
+    draw = _Draws("event_id")
     n = n_claims if isinstance(n_claims, Column) else F.lit(n_claims)
+    key, iso = _key("CLM", "_claim"), "date_format(ts, 'yyyy-MM-dd')"
+    said = draw()
     return project(
-        events.withColumn("_claim", F.col("event_id") % n + 1),
-        claim_number=_key("CLM", "_claim"),
-        note_time=_by_step("event_id", {6: _spelled("ts", "yyyy-MM-dd HH:mm")}, _spelled("ts", _ISO)),
-        author=_labelled("User", "user_id"),
-        note_text=_by_value("event_type", _SENTENCES, "Routine update."),
+        events.withColumn("_claim", F.col("event_id") * 7 % n + 5),
+        claim_number=_kinds(draw(), (12, f"lower({key})"), (20, f"concat({key}, ' ')"), (24, f"concat(' ', {key})"),
+                            otherwise=key),
+        note_time=_kinds(draw(), (100, f"concat({iso}, date_format(ts, ' HH:mm'))"), (200, iso),
+                         (230, f"concat({iso}, 'T', date_format(ts, 'HH:mm:ss'))"), (240, "'yesterday'"),
+                         otherwise="NULL"),
+        author=_kinds(draw(), (10, "''"), otherwise=_labelled("adj", "user_id")),
+        note_text="CASE event_type "
+                  f"WHEN 'signup' THEN CASE WHEN {said} < 128 THEN 'A subrogation claim on the builder was not pursued' "
+                  f"WHEN {said} < 200 THEN 'SUBROGATION: Not Pursued, file too old' ELSE 'Subrogation letter sent' END "
+                  f"WHEN 'error' THEN CASE WHEN {said} < 128 THEN 'Employer with late FNOL, loss reported after weeks' "
+                  f"WHEN {said} < 200 THEN 'LATE FNOL again; Reported After the deadline' ELSE 'Late FNOL is likely' END "
+                  f"WHEN 'purchase' THEN if({said} < 180, 'Clinic sent duplicate billing', 'DUPLICATE BILLING twice') "
+                  f"WHEN 'click' THEN if({said} < 20, NULL, 'Hearing moved to spring') ELSE 'Spoke with claimant' END",
     )
 
 

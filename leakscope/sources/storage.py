@@ -1,9 +1,12 @@
 """Stored layers (staged, core, mart) and cut points.
 
-Full refresh: every table is overwritten, in any order, so a load can be
-repeated. Tables are plain Parquet. They are not bucketed by claim: a bucketed
-join has no shuffle, so a claim that holds a third of the rows would be read by
-one task and adaptive execution could not split it.
+Full refresh: a load writes all tables of a layer into a folder of its own and
+then publishes that folder by creating one file, which either is there or not.
+Readers take the last published folder, so they see a load as a whole or not at
+all, and what they have opened stays as it was. Tables are plain Parquet. They
+are not bucketed by claim: a bucketed join has no shuffle, so a claim that holds
+a third of the rows would be read by one task and adaptive execution could not
+split it.
 """
 
 from __future__ import annotations
@@ -51,8 +54,8 @@ def temporary_cuts(spark: SparkSession) -> Iterator[None]:
     finally:
         _MADE.reset(token)
         for path in made:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            folder, files = _path(spark, path)
+            files.delete(folder, True)
 
 
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:
@@ -74,27 +77,89 @@ def _in_files(name: str, frame: DataFrame) -> DataFrame:
     return frame.sortWithinPartitions(_SORT_IN_FILES[name]) if name in _SORT_IN_FILES else frame
 
 
-def write_stored(frame: DataFrame, base: str, layer: str, name: str) -> DataFrame:
-    """Overwrite one table as Parquet under ``base/layer/name`` and read it back."""
-    path = f"{base}/{layer}/{name}"
-    _in_files(name, frame).write.mode("overwrite").parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+def _schemas(layer: str) -> dict:
+    return {"staged": schemas.STAGED, "core": schemas.CORE, "mart": schemas.MART}[layer]
 
 
-def write_layer(frames: Mapping[str, DataFrame], base: str, layer: str) -> None:
-    """Overwrite the tables of a layer as Parquet under ``base/layer``."""
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def published(spark: SparkSession, base: str, layer: str) -> list[str]:
+    """Folders of the published versions of a layer, the last one last."""
+    marks, files = _path(spark, f"{base}/{layer}/_published")
+    if not files.exists(marks):
+        return []
+    names = sorted(found.getPath().getName() for found in files.listStatus(marks))
+    return [f"{base}/{layer}/{name.split('.', 1)[1]}" for name in names]
+
+
+class Version:
+    """One load of a layer, written apart from the ones before and published at its end."""
+
+    def __init__(self, spark: SparkSession, base: str, layer: str):
+        self.spark, self.base, self.layer = spark, base, layer
+        self._before = published(spark, base, layer)
+        self._folder = f"v-{uuid.uuid4().hex}"
+
+    def write(self, name: str, frame: DataFrame) -> DataFrame:
+        path = f"{self.base}/{self.layer}/{self._folder}/{name}"
+        _in_files(name, frame).write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def previous(self, name: str, schema) -> DataFrame | None:
+        """A table of the version before, if there is one."""
+        return self.spark.read.schema(schema).parquet(f"{self._before[-1]}/{name}") if self._before else None
+
+    def publish(self) -> dict[str, DataFrame]:
+        """Make this the version that readers see, by creating one file; returns its tables."""
+        mark, files = _path(
+            self.spark, f"{self.base}/{self.layer}/_published/{len(self._before) + 1:09d}.{self._folder}")
+        files.mkdirs(mark.getParent())
+        files.createNewFile(mark)
+        return _read(self.spark, f"{self.base}/{self.layer}/{self._folder}", self.layer)
+
+
+def _read(spark: SparkSession, folder: str, layer: str) -> dict[str, DataFrame]:
+    return {name: spark.read.schema(schema).parquet(f"{folder}/{name}") for name, schema in _schemas(layer).items()}
+
+
+def write_layer(spark: SparkSession, frames: Mapping[str, DataFrame], base: str, layer: str) -> dict[str, DataFrame]:
+    """Write all tables of a layer as a new version under ``base/layer``."""
+    version = Version(spark, base, layer)
     for name, frame in frames.items():
-        write_stored(frame, base, layer, name)
+        version.write(name, frame)
+    return version.publish()
 
 
 def read_layer(spark: SparkSession, base: str, layer: str) -> dict[str, DataFrame]:
-    """Tables of a stored layer, with their declared schemas."""
-    declared = {"staged": schemas.STAGED, "core": schemas.CORE, "mart": schemas.MART}[layer]
-    return {name: spark.read.schema(schema).parquet(f"{base}/{layer}/{name}") for name, schema in declared.items()}
+    """Tables of the last published version of a layer, with their declared schemas."""
+    found = published(spark, base, layer)
+    if not found:
+        raise FileNotFoundError(f"nothing was published under {base}/{layer}")
+    return _read(spark, found[-1], layer)
+
 
+def drop_versions(spark: SparkSession, base: str, layer: str, keep: int = 2) -> None:
+    """Delete all but the last ``keep`` published versions; nothing may still read the others."""
+    for old in published(spark, base, layer)[:-keep]:
+        marks, files = _path(spark, f"{base}/{layer}/_published")
+        for found in files.listStatus(marks):
+            if found.getPath().getName().split(".", 1)[1] == old.rsplit("/", 1)[1]:
+                files.delete(found.getPath(), False)
+        folder, files = _path(spark, old)
+        files.delete(folder, True)
 
-def save_tables(spark: SparkSession, frames: Mapping[str, DataFrame], layer: str) -> None:
-    """Overwrite the tables of a layer in the catalog, as ``layer.table``."""
+
+def register_layer(spark: SparkSession, base: str, layer: str) -> None:
+    """Catalog views ``layer.table`` over the last published version of each table.
+
+    To be called after a load; every statement that starts later, in any session, reads the new version.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-    for name, frame in frames.items():
-        _in_files(name, frame).write.mode("overwrite").format("parquet").saveAsTable(f"{layer}.{name}")
+    for name, table in read_layer(spark, base, layer).items():
+        columns = ", ".join(f"CAST(`{field.name}` AS {field.dataType.simpleString()}) AS `{field.name}`"
+                            for field in table.schema)
+        path = published(spark, base, layer)[-1]
+        spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS SELECT {columns} FROM parquet.`{path}/{name}`")

@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from leakscope.config import CLAIM_KEY, KeyFormat, KeywordRule, first_day_not_before, years_before
+from leakscope.config import KeywordRule, first_day_not_before, years_before
 from leakscope.functions import dates, money, text
 
 
@@ -32,13 +32,20 @@ def test_dates(spark):
         "2024-13-01": None, "2024-02-30": None, "31/12/2024": None, "2024-01": None, "10:00": None,
         "2024-01-05 junk": None, "05-Foo-2024": None,
     })
+    check(spark, dates.parse_date("x"), {
+        "2024/01/05": DAY, "2024.1.5": DAY, "01-05-2024": DAY, "1.5.2024": DAY, "Jan 5 2024": DAY, "jan 5, 2024": DAY,
+        "5 Jan 2024": DAY, "1/5/24": DAY, "01-05-24": DAY, "5-Jan-24": DAY, "1/5/49": date(2049, 1, 5),
+        "1/5/50": date(1950, 1, 5), "5-Jan-99 10:00": date(1999, 1, 5), "1/5/2050": date(2050, 1, 5),
+        "2051-01-05": date(2051, 1, 5), "1/5/124": None, "May": None, "Mayday 5 2024": None, "NULL 5 2024": None,
+    })
 
 
 def test_datetimes(spark):
     check(spark, dates.parse_datetime("x"), {
         "2024-01-05": datetime(2024, 1, 5), "2024-01-05 10:07": datetime(2024, 1, 5, 10, 7),
         "2024-01-05 10:07:08.25": datetime(2024, 1, 5, 10, 7, 8, 250000),
-        "1/5/2024 9:05": datetime(2024, 1, 5, 9, 5), "": None, "soon": None, None: None,
+        "1/5/2024 9:05": datetime(2024, 1, 5, 9, 5), "": None,
+        "2024-01-05T10:07:08.1234567": datetime(2024, 1, 5, 10, 7, 8, 123456), "soon": None, None: None,
     })
 
 
@@ -84,21 +91,6 @@ def test_status_and_cost_type(spark):
     })
 
 
-def test_claim_numbers(spark):
-    found = evaluate(spark, text.key_number("x", CLAIM_KEY), [
-        "CLM000000012", "clm000000012 ", "CLM1234567890", "CLM12", "CLM0000000012", "XYZ000000012", None,
-    ])
-    assert found[:3] == [12, 12, 1234567890]
-    assert all(number < 0 for number in found[3:6]) and len(set(found[3:6])) == 3
-    assert found[6] is None
-    assert evaluate(spark, text.key_number("x", KeyFormat("CLM", 6)), ["CLM014613"]) == [14613]
-
-
-def test_reference_to_parent(spark):
-    sql = text.parent_number("x", CLAIM_KEY)
-    assert evaluate(spark, sql, ["CLM000000012  ", " CLM000000012", None]) == [12, None, None]
-
-
 def test_phrases(spark):
     rule = KeywordRule("flag", ("late fnol", "reported after"))
     check(spark, text.has_phrases("x", rule), {

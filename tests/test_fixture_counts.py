@@ -22,9 +22,12 @@ def run(spark, small):
 
 def test_layer_counts(run):
     assert {r.Src: r.Counts for r in run("staged_counts").collect()} == {
-        "policies": 150, "claims": 1530, "payments": 6057, "adjuster": 10, "notes": 1000}
+        "policies": 150, "claims": 1542, "payments": 6087, "adjuster": 10, "notes": 1000}
     assert {r.t: r.cnt for r in run("core_counts").collect()} == {
-        "core_policies": 150, "core_claims": 1500, "core_payments": 5744, "core_adjuster": 10, "core_notes": 1000}
+        "core_policies": 150, "core_claims": 1441, "core_payments": 4829, "core_adjuster": 10, "core_notes": 933}
+    assert {r.issue: r.cnt for r in run("qc_rejected_rows").collect()} == {
+        "claims_repeated": 42, "claims_unknown_policy": 36, "claims_unknown_adjuster": 23, "payments_unknown_claim": 417,
+        "payments_unreadable": 898, "notes_unknown_claim": 54, "notes_without_text": 16}
 
 
 def test_cleaned_values(tables):
@@ -32,31 +35,38 @@ def test_cleaned_values(tables):
         F.count_if(F.col(c).isNull()).alias(c)
         for c in ("loss_date", "report_date", "incurred_total", "paid_total", "reserve_total")
     ], F.count_if(F.col("paid_total") == 0).alias("unpaid")).first()
-    assert tuple(nulls) == (172, 250, 136, 0, 107, 125)
-    assert {r.lob: r["count"] for r in tables.policies.groupBy("lob").count().collect()} == {"GL": 99, "WC": 51}
-    assert tables.policies.where("expiration_date IS NULL").count() == 30
+    assert tuple(nulls) == (136, 225, 172, 168, 163, 78)
+    assert {r.lob: r["count"] for r in tables.policies.groupBy("lob").count().collect()} == {
+        "AUTO": 16, "GL": 70, "WC": 64}
+    assert tables.policies.where("expiration_date IS NULL").count() == 34
+
+
+def test_keys_have_several_forms(tables):
+    keys = tables.claim_numbers.selectExpr("key", "rlike(key, '^CLM[0-9]{9}$') AS nine", "rlike(key, '^CLM[0-9]{6}$') AS six")
+    found = keys.agg(F.count_if("nine"), F.count_if("six"), F.count_if(F.col("key").contains("/"))).first()
+    assert sum(found) == keys.count() and min(found) > 100
 
 
 def test_clue_counts(run):
     trend = run("clue1_severity_qoq")
-    assert (trend.count(), trend.where("prev_q IS NOT NULL").count()) == (36, 32)
+    assert (trend.count(), trend.where("prev_q IS NOT NULL").count()) == (96, 80)
     scores = run("clue2_leakage_scores").groupBy("leakage_score").count().collect()
-    assert {str(r.leakage_score): r["count"] for r in scores} == {"0.0": 351, "0.5": 798, "1.0": 82, "1.5": 269}
+    assert {str(r.leakage_score): r["count"] for r in scores} == {"0.0": 454, "0.5": 939, "1.0": 9, "1.5": 39}
     groups = run("clue3_duplicate_payments")
-    assert (groups.count(), groups.agg(F.max("dup_count")).first()[0]) == (55, 2)
-    assert run("clue4_vendor_outliers").count() == run("clue4_vendor_outliers_high").count() == 60
-    assert [(r.depth, r.adjusters) for r in run("clue5_severity_by_tier").collect()] == [(0, 1), (1, 3), (2, 5)]
+    assert (groups.count(), groups.agg(F.max("dup_count")).first()[0]) == (68, 2)
+    assert run("clue4_vendor_outliers").count() == run("clue4_vendor_outliers_high").count() == 74
+    assert [(r.depth, r.adjusters) for r in run("clue5_severity_by_tier").collect()] == [(0, 1), (1, 3), (2, 6)]
     flags = run("clue6_notes_flags")
-    assert flags.count() == 602
+    assert flags.count() == 490
     assert tuple(flags.agg(F.sum("missed_subrogation"), F.sum("missed_FNOL"), F.sum("dup_billing")).first()) == (
-        199, 201, 202)
+        141, 155, 194)
     rollup = run("clue7_executive_rollup")
-    assert rollup.count() == 1235
+    assert rollup.count() == 1294
     grand = rollup.where("lob = 'ALL LOBs'").first().incurred
-    assert grand == Decimal("20248056.00")
+    assert grand == Decimal("16190417.66")
     detail_without_date = run("clue7_executive_rollup_ids").where("grouping_id = 0 AND loss_date = 'ALL DATES'")
-    assert detail_without_date.count() == 4
-    assert run("mart_claim_risk_signals").count() == 1501
+    assert detail_without_date.count() == 11
+    assert run("mart_claim_risk_signals").count() == 1442
 
 
 def test_totals_lead_the_rollup(run):

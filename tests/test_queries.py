@@ -19,4 +19,4 @@ def test_every_query_has_sql():
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 1501
+    assert entry.entry(spark).count() == 1442

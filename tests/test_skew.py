@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from checks.compare import difference, duck_tables
 from leakscope.operators import copies, quantiles
-from leakscope.operators.keys import number_rows
+from leakscope.operators.keys import number_keys, number_rows
 from leakscope.plans import core
 from leakscope.sources.schemas import TEST_TABLES
 
@@ -48,7 +48,7 @@ def hot(tmp_path_factory, small):
 def tiny_limits(spark, monkeypatch):
     """Limits so low that the hot keys of the small tables are split."""
     monkeypatch.setattr(copies, "CHUNK", 3)
-    monkeypatch.setattr(quantiles, "_BAND_BITS", 12)
+    monkeypatch.setattr(quantiles, "WIDTHS", (12, 5, 0))
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -80,7 +80,8 @@ def test_whole_results(spark, hot, tiny_limits, name):
 
 def test_hot_claim_is_split_in_the_join(spark, hot, tiny_limits):
     """Adaptive execution splits the partition of the hot claim."""
-    payments = core.known_claims_only(entry.Tables(spark, hot).payments, entry.Tables(spark, hot).claims)
+    tables = entry.Tables(spark, hot)
+    payments = core.with_claim(tables.payments, tables.claims_with_id)
     payments.collect()
     assert "isSkewJoin=true" in payments._jdf.queryExecution().executedPlan().toString() or "skew=true" in (
         payments._jdf.queryExecution().executedPlan().toString())
@@ -103,9 +104,21 @@ def test_numbers_are_dense_and_ordered(spark):
     assert [(r.k, r.v) for r in found] == expected
 
 
-@pytest.mark.parametrize("bits", [2, 7, 20])
-def test_quantiles_equal_brute_force(spark, monkeypatch, bits):
-    monkeypatch.setattr(quantiles, "_BAND_BITS", bits)
+def test_keys_have_dense_numbers_and_keep_them(spark):
+    keys = spark.range(0, 500, 1, 5).selectExpr("concat(if(id % 2 = 0, 'CLM', 'x/'), id div 3 * 3) AS key")
+    numbers, repeated = number_keys(keys.unionByName(spark.sql("SELECT CAST(NULL AS string) AS key")))
+    expected = sorted({r.key for r in keys.collect()})
+    assert {r.key: r.number for r in numbers.collect()} == {k: at for at, k in enumerate(expected, 1)}
+    assert repeated == min(r.key for r in keys.groupBy("key").count().where("count > 1").collect())
+    more = spark.createDataFrame([("CLM0",), ("A",), ("zz",)], "key string")
+    again, repeated = number_keys(more, numbers)
+    found = {r.key: r.number for r in again.collect()}
+    assert found == {**{k: at for at, k in enumerate(expected, 1)}, "A": len(expected) + 1, "zz": len(expected) + 2}
+    assert repeated is None and number_keys(more.limit(0))[0].count() == 0
+
+
+@pytest.mark.parametrize("widths", [(0,), (7, 0), (30, 20, 10, 0), ()])
+def test_quantiles_equal_brute_force(spark, widths):
     random = np.random.default_rng(3)
     groups = {
         "hot": random.integers(-5_000, 5_000, 2000), "same": np.full(500, 77), "one": np.array([5]),
@@ -114,8 +127,8 @@ def test_quantiles_equal_brute_force(spark, monkeypatch, bits):
     rows = [(name, str(v / 100)) for name, values in groups.items() for v in map(int, values)]
     frame = spark.createDataFrame(rows, "g string, t string").selectExpr("g", "cast(t AS decimal(18,2)) AS v")
     wanted = {"low": 0.1, "q1": 0.25, "mid": 0.5, "q3": 0.75, "top": 1.0}
-    counts = quantiles.value_counts(frame, ["g"], "v")
-    found = {r.g: r for r in quantiles.quantiles_of_counts(counts, ["g"], "v", 2, wanted).collect()}
+    frame = frame.unionByName(frame.limit(1).selectExpr("'none' AS g", "cast(NULL AS decimal(18,2)) AS v"))
+    found = {r.g: r for r in quantiles.quantiles(frame, ["g"], "v", 2, wanted, widths).collect()}
     assert set(found) == set(groups)
     for name, values in groups.items():
         for column, p in wanted.items():

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from checks.compare import difference
+from checks.compare import ORDERS, difference, out_of_order
 from leakscope.config import FIXTURE_AS_OF as AS_OF
 from leakscope.operators.sampling import one_in, random_top
 from leakscope.plans import clues, core, extracts, mart
@@ -32,9 +32,77 @@ def test_load_keeps_declared_schemas_and_values(spark, small, stored):
     _, tables = stored
     for name, table in tables.items():
         assert [f.name for f in table.schema] == schemas.CORE[name].fieldNames()
+        own = {"core_payments": "payment_id", "core_notes": "note_id"}.get(name)
+        if own:  # numbers of places, not of an order
+            assert table.select(own).distinct().count() == table.count()
+            table = table.drop(own)
         assert _same(table, entry.queries()[name](spark, small))
 
 
+def test_keys_keep_their_numbers_over_loads(spark, small, tmp_path):
+    staged = {name: staging.StagedTables(spark, small, AS_OF)[name] for name in schemas.STAGED}
+    before = core.load_core({**staged, "staged_claims": staged["staged_claims"].where("loss_date > '1'").limit(300)},
+                            str(tmp_path))["core_claims"]
+    old = {r.claim_number.upper(): r.claim_id for r in before.collect()}
+    after = {r.claim_number.upper(): r.claim_id for r in core.load_core(staged, str(tmp_path))["core_claims"].collect()}
+    assert len(after) > len(old) > 100 and len(set(after.values())) == len(after)
+    assert all(after[number] == claim_id for number, claim_id in old.items() if number in after)
+
+
+def test_keys_of_any_form_load(spark, tmp_path):
+    """Two numbers that read alike, and one that is no number, are three claims."""
+    from tests import frames
+
+    numbers = ["CLM000012", "CLM000000012", "12/x"]
+    claim = {"policy_number": "P", "adjuster_ext_id": "A", "loss_date": "2000-01-01"}
+    staged = {
+        "staged_policies": frames.staged(spark, "staged_policies", {"policy_number": "P"}),
+        "staged_adjuster": frames.staged(spark, "staged_adjuster", {"adjuster_ext_id": "A"}),
+        "staged_claims": frames.staged(spark, "staged_claims", *[{**claim, "claim_number": n} for n in numbers]),
+        "staged_payments": frames.staged(spark, "staged_payments", *[
+            {"claim_number": n.lower() + " ", "payment_date": "2000-02-01", "amount": str(at)}
+            for at, n in enumerate([*numbers, "12"])]),
+        "staged_notes": frames.staged(spark, "staged_notes", {"claim_number": "12/X", "note_text": "a"}),
+    }
+    tables = core.load_core(staged, str(tmp_path))
+    claims = {r.claim_id: r.claim_number for r in tables["core_claims"].collect()}
+    assert sorted(claims.values()) == sorted(numbers)
+    paid = {claims[r.claim_id]: int(r.amount) for r in tables["core_payments"].collect()}
+    assert paid == {"CLM000012": 0, "CLM000000012": 1, "12/x": 2}
+    assert [claims[r.claim_id] for r in tables["core_notes"].collect()] == ["12/x"]
+
+
+def test_a_load_that_dies_leaves_the_old_state(spark, small, tmp_path):
+    staged, base = staging.StagedTables(spark, small, AS_OF), str(tmp_path)
+    opened = core.load_core(staged, base)
+    before = {name: table.count() for name, table in opened.items()}
+    broken = {name: staged[name] for name in schemas.STAGED}
+    broken["staged_policies"] = broken["staged_policies"].limit(20)
+    broken["staged_notes"] = broken["staged_notes"].withColumn(
+        "note_text", F.expr("if(note_text LIKE 'S%', raise_error('disk full'), note_text)"))
+    with pytest.raises(Exception, match="disk full"):
+        core.load_core(broken, base)
+    assert {name: table.count() for name, table in storage.read_layer(spark, base, "core").items()} == before
+    fewer = core.load_core({**broken, "staged_notes": staged["staged_notes"]}, base)
+    assert fewer["core_policies"].count() == 20
+    assert {name: table.count() for name, table in opened.items()} == before  # readers keep their version
+    assert storage.read_layer(spark, base, "core")["core_policies"].count() == 20
+    core.load_core(staged, base)
+    assert len(storage.published(spark, base, "core")) == 3
+    storage.drop_versions(spark, base, "core", keep=1)
+    assert len(storage.published(spark, base, "core")) == 1
+    assert storage.read_layer(spark, base, "core")["core_policies"].count() == before["core_policies"]
+
+
+def test_a_load_writes_payments_once_and_sorts_no_rows(spark, stored):
+    """No range exchange but for the distinct keys, and no written copy of the payments."""
+    base, tables = stored
+    staged = staging.StagedTables(spark, "/root/testdata/sf0.001", AS_OF)
+    payments = core._placed(core.with_claim(core.conform_payments(staged["staged_payments"]), tables["core_claims"]), "n")
+    plan = payments.where(core.is_readable())._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.count("gettimestamp") == 1  # parsed once
+
+
 def test_load_can_be_repeated(spark, small, stored, tmp_path):
     staged = staging.StagedTables(spark, small, AS_OF)
     for _ in range(2):
@@ -74,15 +142,28 @@ def test_filters_and_columns_reach_the_stored_files(stored):
 
 def test_staged_layer_round_trip(spark, small, tmp_path):
     tables = staging.StagedTables(spark, small, AS_OF)
-    storage.write_layer(tables, str(tmp_path), "staged")
+    storage.write_layer(spark, tables, str(tmp_path), "staged")
     again = storage.read_layer(spark, str(tmp_path), "staged")
     assert all(_same(tables[name], again[name]) for name in tables)
 
 
-def test_risk_view_reads_current_data(spark, stored):
-    _, t = stored
-    mart.create_risk_view(t["core_claims"], t["core_policies"], t["core_payments"], AS_OF)
-    assert spark.sql("SELECT count(*) FROM claim_risk_signals WHERE dup_hits > 0").first()[0] == 55
+def test_the_risk_view_outlives_a_load(spark, small, tmp_path):
+    staged, base = {n: staging.StagedTables(spark, small, AS_OF)[n] for n in schemas.STAGED}, str(tmp_path)
+    core.load_core({**staged, "staged_claims": staged["staged_claims"].limit(100)}, base)
+    storage.register_layer(spark, base, "core")
+    mart.create_risk_view(spark, AS_OF)
+    other = spark.newSession()
+    few = other.table("mart.claim_risk_signals_live").count()
+    core.load_core(staged, base)
+    storage.register_layer(spark, base, "core")
+    found = other.table("mart.claim_risk_signals_live")
+    assert 0 < few < found.count()
+    assert _same(found, entry.queries()["mart_claim_risk_signals"](spark, small))
+    assert [f.name for f in found.schema] == schemas.MART["claim_risk_signals"].fieldNames()
+    mart.create_risk_view(spark)  # at the time of the read
+    assert other.table("mart.claim_risk_signals_live").count() == found.count()
+    for name in ("core", "mart"):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 def test_the_stored_mart_outlives_a_new_load(spark, small, tmp_path):
@@ -94,15 +175,20 @@ def test_the_stored_mart_outlives_a_new_load(spark, small, tmp_path):
     assert [f.name for f in found.schema] == schemas.MART["claim_risk_signals"].fieldNames()
 
 
-def test_catalog_tables(spark, small, tmp_path):
-    tables = {"core_policies": entry.Tables(spark, small).policies}
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS core LOCATION '{tmp_path}/core.db'")
-    storage.save_tables(spark, tables, "core")
-    storage.save_tables(spark, tables, "core")
-    assert spark.table("core.core_policies").count() == 150
+def test_catalog_names_follow_the_last_version(spark, stored):
+    base, tables = stored
+    storage.register_layer(spark, base, "core")
+    for name, table in tables.items():
+        found = spark.newSession().table(f"core.{name}")
+        assert found.schema == table.schema and found.count() == table.count()
     spark.sql("DROP DATABASE core CASCADE")
 
 
+def test_nothing_published(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        storage.read_layer(spark, str(tmp_path), "core")
+
+
 def _file(folder):
     (path,) = glob.glob(f"{folder}/part-*.csv")
     with open(path, "rb") as file:
@@ -149,6 +235,15 @@ def test_comparison_finds_differences(spark, duck, small, monkeypatch):
     assert "150 rows instead of 149" in difference(spark, duck, small, "core_policies")
 
 
+@pytest.mark.parametrize("name", [
+    "clue1_severity_qoq", "clue2_reserve_flags", "clue3_duplicate_payments", "clue4_vendor_outliers",
+    "clue5_adjuster_hierarchy", "clue6_notes_flags", "clue7_executive_rollup"])
+def test_comparison_finds_a_missing_sort(spark, small, name):
+    found = entry.queries()[name](spark, small)
+    assert out_of_order(found.collect(), ORDERS[name]) is None
+    assert out_of_order(found.orderBy(F.xxhash64(*found.columns)).collect(), ORDERS[name]) is not None
+
+
 def test_a_repeated_key_stops_the_load_before_anything_is_replaced(spark, small, tmp_path):
     staged = staging.StagedTables(spark, small, AS_OF)
     tables = {name: staged[name] for name in schemas.STAGED}
