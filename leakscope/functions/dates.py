@@ -1,24 +1,22 @@
 """Dates and times from free text.
 
-One pattern holds every accepted spelling as an optional section, so a text is
-read once, whatever its spelling, and words never reach the parser. The
-expressions name their input as few times as possible: Spark may push a filter on
-a parsed date below the projection that computes it, and copies the input
-expression for each use.
+What a text begins with, and which separators it has, tells its spelling; only then a parser with the few patterns of
+that kind reads it, so words never reach one. Spark may push a filter on a parsed date below the projection that
+computes it, and copies the input expression for each use; the expressions name their input once.
 """
 
 from __future__ import annotations
 
-# The accepted spellings of a date and of the time that may follow. A year of two digits is made whole
-# before: up to 49 it is of this century, else of the one before.
-_DAYS = (
-    "yyyy-M-d", "M/d/yyyy", "d-MMM-yyyy", "yyyyMMdd", "yyyy/M/d", "yyyy.M.d", "M-d-yyyy", "M.d.yyyy", "d MMM yyyy",
-    "MMM d[,] yyyy",
-)
+# The accepted spellings of a date that begins with the year, has slashes, begins with a month, or another;
+# and of the time that may follow. A year of two digits is made whole before: up to 49 it is of this century, else of
+# the one before.
+_YEAR_FIRST = ("yyyy/M/d", "yyyy.M.d")
+_SLASHES = ("M/d/yyyy",)
+_NAME_FIRST = ("MMM d[,] yyyy",)
+_OTHERS = ("d-MMM-yyyy", "yyyyMMdd", "M-d-yyyy", "M.d.yyyy", "d MMM yyyy")
 _TIMES = (" H:mm[:ss[.SSSSSSSSS]]", "''T''H:mm[:ss[.SSSSSSSSS]]")
 _CENTURIES = {"[0-4][0-9]": "20", "[5-9][0-9]": "19"}
-_PATTERN = "".join(f"[{spelling}]" for spelling in _DAYS + _TIMES)
-_MONTH_FIRST = "^[A-Za-z]{3} [0-9]"
+_MONTH = "^[A-Za-z]{3} [0-9]"
 
 
 def _short(year: str) -> str:
@@ -26,23 +24,34 @@ def _short(year: str) -> str:
     return f"^([0-9]{{1,2}}[/-][0-9]{{1,2}}[/-]|[0-9]{{1,2}}-[A-Za-z]{{3}}-)({year})([ T].*)?$"
 
 
-def _whole_year(text: str) -> str:
+def _read(text: str, spellings: tuple[str, ...]) -> str:
+    pattern = "".join(f"[{spelling}]" for spelling in spellings + _TIMES)
+    return f"cast(try_to_timestamp({text}, '{pattern}') AS timestamp_ntz)"
+
+
+def _read_any_year(text: str, mark: str, spellings: tuple[str, ...]) -> str:
+    """A third digit after the second mark tells a whole year; only others are looked at for a short one."""
+    third = f"ascii(substr({text}, locate('{mark}', {text}, locate('{mark}', {text}) + 1) + 3, 1))"
     whole = text
     for year, century in _CENTURIES.items():
         whole = f"regexp_replace({whole}, '{_short(year)}', '$1{century}$2$3')"
-    return f"if({text} RLIKE '{_short('[0-9]{2}')}', {whole}, {text})"
+    return f"if({third} BETWEEN {ord('0')} AND {ord('9')}, {_read(text, spellings)}, {_read(whole, spellings)})"
 
 
 def parse_datetime(text: str) -> str:
     """Timestamp of a text column in any accepted spelling, at midnight without a time.
 
     Anything else, such as an empty text or the word NULL, is NULL: every spelling begins with a digit or a month. The
-    result has no time zone, but it is read in the session's, which should be UTC.
+    result has no time zone; the session's should be UTC, where every time of day exists.
     """
-    digits = ", ".join(str(ord(digit)) for digit in "0123456789")
-    begins = f"ascii(trim({text})) IN ({digits}) OR trim({text}) RLIKE '{_MONTH_FIRST}'"
-    parsed = f"cast(try_to_timestamp({_whole_year(f'trim({text})')}, '{_PATTERN}') AS timestamp_ntz)"
-    return f"if({begins}, {parsed}, NULL)"
+    parsed = f"""CASE
+        WHEN ascii(t) BETWEEN {ord('0')} AND {ord('9')} THEN CASE
+            WHEN locate('-', t) = 5 THEN if(locate('-', t, 6) > 0, try_cast(t AS timestamp_ntz), NULL)
+            WHEN locate('/', t) = 5 OR locate('.', t) = 5 THEN {_read('t', _YEAR_FIRST)}
+            WHEN locate('/', t) > 0 THEN {_read_any_year('t', '/', _SLASHES)}
+            ELSE {_read_any_year('t', '-', _OTHERS)} END
+        WHEN t RLIKE '{_MONTH}' THEN {_read('t', _NAME_FIRST)} END"""
+    return f"element_at(transform(array(trim({text})), t -> {parsed}), 1)"
 
 
 def parse_date(text: str) -> str:

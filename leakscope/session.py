@@ -19,6 +19,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # The JVM never compiles methods of over 8000 bytes; cleaning a whole table in one stage would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 LOCAL_SETTINGS = {
