@@ -133,7 +133,9 @@ def resolved_claims(
 
 def with_claim_ids(claims: DataFrame, numbers: DataFrame) -> DataFrame:
     """Resolved claims with their ``claim_id``."""
-    return _numbered(claims, "claim", numbers).withColumn("claim_id", F.coalesce("claim_id", F.lit(NO_CLAIM_NUMBER)))
+    no_key = F.col("claim_key").isNull()
+    return _numbered(claims, "claim", numbers).withColumn(
+        "claim_id", F.when(no_key, F.lit(NO_CLAIM_NUMBER)).otherwise(F.col("claim_id")).cast("bigint"))
 
 
 def core_claims(staged: DataFrame, policies: DataFrame, adjusters: DataFrame, numbers: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def test_load_keeps_declared_schemas_and_values(spark, small, stored):
 
 def test_keys_keep_their_numbers_over_loads(spark, small, tmp_path):
     staged = {name: staging.StagedTables(spark, small, AS_OF)[name] for name in schemas.STAGED}
-    before = core.load_core({**staged, "staged_claims": staged["staged_claims"].where("loss_date > '1'").limit(300)},
+    before = core.load_core({**staged, "staged_claims": staged["staged_claims"].where("crc32(loss_date) % 5 = 0")},
                             str(tmp_path))["core_claims"]
     old = {r.claim_number.upper(): r.claim_id for r in before.collect()}
     after = {r.claim_number.upper(): r.claim_id for r in core.load_core(staged, str(tmp_path))["core_claims"].collect()}
@@ -100,7 +100,7 @@ def test_a_load_writes_payments_once_and_sorts_no_rows(spark, stored):
     staged = staging.StagedTables(spark, "/root/testdata/sf0.001", AS_OF)
     payments = core._placed(core.with_claim(core.conform_payments(staged["staged_payments"]), tables["core_claims"]), "n")
     plan = payments.where(core.is_readable())._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" not in plan and plan.count("gettimestamp") == 1  # parsed once
+    assert "rangepartitioning" not in plan and plan.count("transform(array(trim(payment_date") == 1  # parsed once
 
 
 def test_load_can_be_repeated(spark, small, stored, tmp_path):
@@ -149,7 +149,7 @@ def test_staged_layer_round_trip(spark, small, tmp_path):
 
 def test_the_risk_view_outlives_a_load(spark, small, tmp_path):
     staged, base = {n: staging.StagedTables(spark, small, AS_OF)[n] for n in schemas.STAGED}, str(tmp_path)
-    core.load_core({**staged, "staged_claims": staged["staged_claims"].limit(100)}, base)
+    core.load_core({**staged, "staged_claims": staged["staged_claims"].where("crc32(loss_date) % 9 = 0")}, base)
     storage.register_layer(spark, base, "core")
     mart.create_risk_view(spark, AS_OF)
     other = spark.newSession()
