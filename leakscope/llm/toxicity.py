@@ -1,25 +1,37 @@
-"""Toxicity by class-conditional Kneser-Ney models of words and word pairs.
-
-Each class, toxic and ordinary, has a model of a word after the word before it: absolute discounting takes ``DISCOUNT``
-from every count, and what is taken goes to the class's model of single words, and from there to counts that both
-classes share, in how many documents a word occurs. Words and pairs in fewer than ``LEAST_DOCS`` documents of the sample
-are rare: they have no counts of their own in any class and live on the shared backoff alone.
-
-A text is compared by the log-likelihood ratio of the two models, normalised by length: over the whole text, and over
-its strongest word alone (a text with one slur in a thousand words is toxic as well). Logistic calibration on a
-quarter of the sample, weighted back to the classes' shares among all labels, makes a score of the two.
-
-The models are fitted on a bounded sample of labelled documents, about ``PER_CLASS`` of each class; only their ids are
-broadcast. All documents are scored over their whole texts. Null and empty texts have no expression, both ratios are 0.
-A document with several labels counts as toxic if one says so; null labels are none. Without labels of both classes
-every score is 0. A null doc_id is in fold 0 and has no label. Repeated rows get equal scores. Extra columns are ignored.
+"""Toxicity by class-conditional Kneser-Ney models of word pairs.
+
+Each class, toxic and ordinary, has a model of a word after the word before it. A discount is taken from every count
+that is not zero, and what is taken goes to the next model:
+
+1. how often the class has the pair, of all pairs with this word before;
+2. after how many different words the class has the word (its continuation count), of all the class's distinct pairs;
+3. the continuation count over both classes together, the backoff that they share, of all distinct pairs;
+4. one share for each known word and one for all unknown words.
+
+The discount is ``DISCOUNT`` in 1 and 3. In 2, where a word that the class has after one other word only says little,
+counts of 1, 2 and more have discounts of their own (``discounts``). Rare expressions have no limit of their own: they
+live on what they share through 3 and 4. Probabilities of all words after a word, with the unknown word, add up to 1 in
+each class.
+
+A text is compared by the log-likelihood ratio of the two models, normalised by length: over the whole text after model
+1, and of its strongest word after model 2 (a text with one slur in a thousand words is toxic as well). The sample is
+dealt into ``PARTS`` by id; each part is held against the models of the other parts, and logistic calibration on all of
+these ratios, weighted back to the classes' shares among all labels, makes a score of the two. Documents are scored by
+the first of these models, so that their ratios come from as much text as the ratios calibrated on.
+
+The models are fitted on a bounded sample of labelled documents, about ``PER_CLASS`` of each class: its ids are broadcast
+and the counts of its distinct pairs come to the driver, one model after the other. All documents are scored over their
+whole texts. Words are told apart by 64-bit hashes; two words with one hash would share their counts.
+
+Null and empty texts have no expression, both ratios are 0. A document with several labels counts as toxic if one says
+so; null labels are none. Without labels of both classes every score is 0. A null doc_id is in fold 0 and has no label.
+Repeated rows get equal scores. Empty tables of documents give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,121 +39,143 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leakscope.llm.common import cut
+from leakscope.llm.wordhash import SPACE, Words, byte_table, mix, words
 
 PER_CLASS = 4000
-LEAST_DOCS = 5
+PARTS = 4
 DISCOUNT = 0.75
-_FLUSH = 1 << 18
-_START = b"\n"  # stands before the first word; no word has white space
+_TABLE = byte_table(SPACE)
+_START = np.uint64(1)  # stands before the first word
+
+
+def befores(w: Words) -> np.ndarray:
+    """Hash of the word before each word."""
+    before = np.empty_like(w.hash)
+    before[1:] = w.hash[:-1]
+    before[w.bounds[:-1][w.counts > 0]] = _START
+    return before
 
 
-def words(text: pa.Scalar) -> list[bytes]:
-    return text.as_buffer().to_pybytes().lower().split() if text.is_valid else []
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(mix(before) + word)
+
+
+def _values(keys: np.ndarray, columns: list[np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Whether each wanted key is among the sorted keys, and its value in every column (of any key if not)."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool), [np.zeros(len(wanted)) for _ in columns]
+    distinct, back = np.unique(wanted, return_inverse=True)  # sorted keys are found faster than scattered ones
+    at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
+    return (keys[at] == distinct)[back], [column[at][back] for column in columns]
 
 
 @dataclass
 class Model:
-    """Log-likelihood ratios: of words, of pairs (joined by a space), and what a known context adds to a backoff."""
-
-    word: dict[bytes, float] = field(default_factory=dict)
-    pair: dict[bytes, float] = field(default_factory=dict)
-    context: dict[bytes, float] = field(default_factory=dict)
-    rare: float = 0.0
-
-    def ratios(self, text: list[bytes]) -> tuple[float, float]:
-        """Mean ratio of the words after the words before them, and the largest ratio of a single word."""
-        if not text:
-            return 0.0, 0.0
-        total, best, before = 0.0, -1e9, _START
-        for word in text:
-            alone = self.word.get(word, self.rare)
-            ratio = self.pair.get(before + b" " + word)
-            total += self.context.get(before, 0.0) + alone if ratio is None else ratio
-            if alone > best:
-                best = alone
-            before = word
-        return total / len(text), best
-
-
-def _expression_counts(sample: DataFrame) -> DataFrame:
-    """(expression, ordinary, toxic, docs) of words and of pairs, whose words are joined by a space."""
+    """Log-likelihood ratios, toxic to ordinary, by sorted hashes."""
+
+    word: np.ndarray  # hashes of words, and of what stands before first words
+    alone: np.ndarray  # after model 2
+    context: np.ndarray  # what a word before adds to a pair that neither class has
+    pair: np.ndarray
+    after: np.ndarray  # after model 1, of pairs that a class has
+    unknown: float  # after model 2, of a word that neither class has
+
+    def ratios(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        """For every row the mean ratio of its words after the words before them, and the largest ratio of one word."""
+        before = befores(w)
+        known, (alone,) = _values(self.word, [self.alone], w.hash)
+        alone = np.where(known, alone, self.unknown)
+        known, (context,) = _values(self.word, [self.context], before)
+        backed_off = np.where(known, context, 0.0) + alone
+        known, (after,) = _values(self.pair, [self.after], pair_keys(before, w.hash))
+        mean = np.bincount(w.row, np.where(known, after, backed_off), w.n_rows) / np.maximum(w.counts, 1)
+        best = np.full(w.n_rows, -np.inf)
+        np.maximum.at(best, w.row, alone)
+        return mean, np.where(w.counts > 0, best, 0.0)
+
+
+def _pair_counts(sample: DataFrame) -> DataFrame:
+    """(before, word, ordinary_0, toxic_0, ordinary_1, ...): how often each pair is in each part of each class."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, docs = (Counter(), Counter()), Counter()
-
-        def flush() -> pa.RecordBatch:
-            every = list(docs)
-            return pa.record_batch([pa.array(every, pa.binary()),
-                                    *[pa.array([c[e] for e in every], pa.int64()) for c in (*counts, docs)]],
-                                   names=["expression", "ordinary", "toxic", "docs"])
-
         for batch in batches:
-            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                own = words(text)
-                own = Counter(own) + Counter([a + b" " + b for a, b in zip([_START, *own], own)])
-                counts[toxic].update(own)
-                docs.update(own.keys())
-                if len(docs) > _FLUSH:
-                    yield flush()
-                    for c in (*counts, docs):
-                        c.clear()
-        yield flush()
-
-    return (sample.select("text", "toxic")
-            .mapInArrow(read, "expression binary, ordinary bigint, toxic bigint, docs bigint")
-            .groupBy("expression").agg(*[F.sum(c).alias(c) for c in ("ordinary", "toxic", "docs")]))
-
-
-def _ratio(toxic: float, ordinary: float) -> float:
-    return float(np.log(toxic) - np.log(ordinary))
-
-
-def kneser_ney(rows: list[tuple[bytes, int, int, int]], totals: tuple[int, int]) -> Model:
-    """Ratios from (expression, ordinary, toxic, docs) of the frequent expressions and each class's words in all."""
-    words_of = {e: (n, m, d) for e, n, m, d in rows if b" " not in e}
-    pairs = [(e, (n, m)) for e, n, m, _ in rows if b" " in e]
-    shared = max(sum(d for *_, d in words_of.values()), 1)
-    n_of = [max(totals[c], 1) for c in (0, 1)]
-    # What discounting frees goes to the shared counts; all rare words together keep their tokens' share of the class.
-    freed = [sum(min(x[c], DISCOUNT) for x in words_of.values()) / n_of[c] for c in (0, 1)]
-    rare = [(totals[c] - sum(x[c] for x in words_of.values()) + 1) / (n_of[c] + 1) for c in (0, 1)]
-
-    def p_word(word: bytes, c: int) -> float:
-        x = words_of.get(word)
-        if x is None:
-            return rare[c]
-        return max(x[c] - DISCOUNT, 0) / n_of[c] + max(freed[c], 1 / n_of[c]) * x[2] / shared
-
-    taken: dict[bytes, list[float]] = {}
-    for e, n in pairs:
-        own = taken.setdefault(e.split(b" ")[0], [0.0, 0.0])
-        for c in (0, 1):
-            own[c] += max(n[c] - DISCOUNT, 0)
-    model = Model(rare=_ratio(rare[1], rare[0]))
-    model.word = {w: _ratio(p_word(w, 1), p_word(w, 0)) for w in words_of}
-
-    def rest(before: bytes, c: int) -> float:
-        seen = max(words_of.get(before, (0, 0, 0))[c], taken[before][c] + DISCOUNT)
-        return 1 - taken[before][c] / seen
-
-    model.context = {v: _ratio(rest(v, 1), rest(v, 0)) for v in taken}
-    for e, n in pairs:
-        before, word = e.split(b" ")
-        p = []
-        for c in (0, 1):
-            seen = max(words_of.get(before, (0, 0, 0))[c], taken[before][c] + DISCOUNT)
-            p.append(max(n[c] - DISCOUNT, 0) / seen + rest(before, c) * p_word(word, c))
-        model.pair[e] = _ratio(p[1], p[0])
-    return model
-
-
-def _ratios(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
-    """``carry`` columns, mean and best of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
+            group = batch.column(1).to_numpy(zero_copy_only=False)
+            for w in words(batch.column(0), _TABLE):
+                before, of = befores(w), group[w.first + w.row]
+                keys = pair_keys(before, w.hash) + of.astype(np.uint64)
+                _, at, n = np.unique(keys, return_index=True, return_counts=True)
+                yield pa.record_batch([pa.array(before[at].view(np.int64)), pa.array(w.hash[at].view(np.int64)),
+                                       pa.array(of[at], pa.int32()), pa.array(n, pa.int64())],
+                                      names=["before", "word", "of", "n"])
+
+    counted = (sample.select("text", (F.col("part") * 2 + F.col("toxic")).cast("int").alias("of"))
+               .mapInArrow(read, "before bigint, word bigint, of int, n bigint"))
+    return counted.groupBy("before", "word").agg(
+        *[F.sum(F.when(F.col("of") == 2 * part + c, F.col("n")).otherwise(0)).alias(f"{name}_{part}")
+          for part in range(PARTS) for c, name in enumerate(("ordinary", "toxic"))])
+
+
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """The discounts of counts 0, 1, 2 and from 3 on, by how many counts are 1, 2, 3 and 4.
+
+    The estimate is that of modified Kneser-Ney smoothing; with few counts it is held between a tenth of the count and
+    nearly all of it.
+    """
+    n = np.array([np.count_nonzero(counts == i) + 0.5 for i in range(5)])
+    once = n[1] / (n[1] + 2 * n[2])
+    return np.array([0.0, *[np.clip(i - (i + 1) * once * n[i + 1] / n[i], 0.1 * i, 0.98 * i) for i in (1, 2, 3)]])
+
+
+def kneser_ney(before: np.ndarray, word: np.ndarray, counts: tuple[np.ndarray, np.ndarray]) -> Model:
+    """Ratios of distinct pairs (hashes of the word before and of the word), with each class's count of the pair."""
+    befores_, before_at = np.unique(before, return_inverse=True)
+    words_, word_at = np.unique(word, return_inverse=True)
+    n_pairs, n_words = max(len(word), 1), len(words_)
+    left = DISCOUNT * n_words / n_pairs if n_words else 1.0
+    nothing = left / (n_words + 1)
+    shared = np.maximum(np.bincount(word_at, minlength=n_words) - DISCOUNT, 0) / n_pairs + nothing
+    alone, unknown, context, after = [], [], [], []
+    for count in counts:
+        has = (count > 0).astype(np.float64)
+        kinds = np.bincount(word_at, has, n_words)
+        distinct = has.sum()
+        taken = discounts(kinds)[np.minimum(kinds, 3).astype(int)]
+        freed = taken.sum() / distinct if distinct else 1.0
+        of_word = (kinds - taken) / max(distinct, 1) + freed * shared
+        seen = np.bincount(before_at, count, len(befores_))
+        rest = np.where(seen > 0, DISCOUNT * np.bincount(before_at, has, len(befores_)) / np.maximum(seen, 1), 1.0)
+        alone.append(np.log(of_word))
+        unknown.append(np.log(freed * nothing))
+        context.append(np.log(rest))
+        after.append(np.log(np.maximum(count - DISCOUNT, 0) / np.maximum(seen, 1)[before_at]
+                            + rest[before_at] * of_word[word_at]))
+    every = np.union1d(befores_, words_)
+    in_every = [np.zeros(len(every)), np.zeros(len(every))]
+    in_every[0][:] = unknown[1] - unknown[0]
+    in_every[0][np.searchsorted(every, words_)] = alone[1] - alone[0]
+    in_every[1][np.searchsorted(every, befores_)] = context[1] - context[0]
+    pairs = pair_keys(before, word)
+    order = np.argsort(pairs)
+    return Model(every, *in_every, pairs[order], (after[1] - after[0]).astype(np.float32)[order],
+                 float(unknown[1] - unknown[0]))
+
+
+def _model(counted: DataFrame, part: int) -> Model:
+    """The model of all parts but one; as many rows come to the driver as the sample has distinct pairs."""
+    others = [p for p in range(PARTS) if p != part]
+    sums = [sum((F.col(f"{name}_{p}") for p in others), F.lit(0)).cast("int").alias(name)
+            for name in ("ordinary", "toxic")]
+    rows = counted.select("before", "word", *sums).where("ordinary + toxic > 0").toArrow()
+    hashes = [rows[c].to_numpy().view(np.uint64) for c in ("before", "word")]
+    return kneser_ney(*hashes, tuple(rows[c].to_numpy().astype(np.float64) for c in ("ordinary", "toxic")))
+
+
+def _ratios(docs: DataFrame, model, *carry: str) -> DataFrame:
+    """``carry`` columns, mean and best of every document, by a model that was broadcast."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([shared.value.ratios(words(t)) for t in batch.column(0)]).reshape(-1, 2)
-            yield pa.record_batch([*batch.columns[1:], pa.array(found[:, 0]), pa.array(found[:, 1])],
+            found = [model.value.ratios(w) for w in words(batch.column(0), _TABLE)]
+            mean, best = (np.concatenate([f[i] for f in found] or [np.zeros(0)]) for i in (0, 1))
+            yield pa.record_batch([*batch.columns[1:], pa.array(mean), pa.array(best)],
                                   names=[*batch.schema.names[1:], "mean", "best"])
 
     given = docs.select("text", *carry)
@@ -162,8 +196,9 @@ def calibrate(x: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarra
     return w
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, least_docs: int = LEAST_DOCS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """doc_id and score of every document, learned from ``labels(doc_id, toxic)`` and these documents' texts."""
+    context = docs.sparkSession.sparkContext
     known = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
              .groupBy(F.col("doc_id").alias("labelled")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     n_of = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
@@ -172,18 +207,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, lea
     share = [min(1.0, per_class / n_of[c]) for c in (0, 1)]
     draw = F.pmod(F.xxhash64(F.lit("toxic"), "labelled"), F.lit(1 << 30))
     drawn = known.where(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * (1 << 30))
-    drawn = drawn.withColumn("spare", F.pmod(F.xxhash64(F.lit("spare"), "labelled"), F.lit(4)) == 0)
+    drawn = drawn.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "labelled"), F.lit(PARTS)).cast("int"))
     sample = cut(docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("labelled"))
-                 .select("text", "toxic", "spare"), "toxic-sample")  # about 2 * per_class ids are broadcast
-    fit = sample.where("NOT spare")
-    counted = cut(_expression_counts(fit), "toxic-counts")
-    totals = counted.where(~F.expr("contains(expression, X'20')")).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)) for c in ("ordinary", "toxic")]).first()
-    frequent = counted.where(F.col("docs") >= least_docs).toArrow()  # by the sample's size few
-    model = kneser_ney(list(zip(*[frequent[c].to_pylist() for c in ("expression", "ordinary", "toxic", "docs")])),
-                       tuple(totals))
-    spare = _ratios(sample.where("spare"), model, "toxic").toArrow()
-    y = spare["toxic"].to_numpy()
-    w = calibrate(np.column_stack((spare["mean"], spare["best"])), y, np.where(y == 1, 1 / share[1], 1 / share[0]))
+                 .select("text", "toxic", "part"), "toxic-sample")  # about 2 * per_class ids are broadcast
+    counted = cut(_pair_counts(sample), "toxic-counts")
+    x, y, models = [], [], []
+    for part in reversed(range(PARTS)):
+        models.append(context.broadcast(_model(counted, part)))
+        held = _ratios(sample.where(F.col("part") == part), models[-1], "toxic").toArrow()
+        x.append(np.column_stack((held["mean"], held["best"])))
+        y.append(held["toxic"].to_numpy())
+        if part:
+            models[-1].destroy()
+    x, y = np.concatenate(x), np.concatenate(y)
+    w = calibrate(x, y, np.where(y == 1, 1 / share[1], 1 / share[0]))
     logit = F.col("mean") * float(w[0]) + F.col("best") * float(w[1]) + float(w[2])
-    return _ratios(docs, model, "doc_id").select("doc_id", (1 / (1 + F.exp(-logit))).alias("score"))
+    return _ratios(docs, models[-1], "doc_id").select("doc_id", (1 / (1 + F.exp(-logit))).alias("score"))
