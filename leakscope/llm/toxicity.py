@@ -127,17 +127,18 @@ def discounts(counts: np.ndarray) -> np.ndarray:
 
 def kneser_ney(before: np.ndarray, word: np.ndarray, counts: tuple[np.ndarray, np.ndarray]) -> Model:
     """Ratios of distinct pairs (hashes of the word before and of the word), with each class's count of the pair."""
-    befores_, before_at = np.unique(before, return_inverse=True)
-    words_, word_at = np.unique(word, return_inverse=True)
+    befores_, words_ = np.unique(before), np.unique(word)
+    before_at = np.searchsorted(befores_, before).astype(np.int32)
+    word_at = np.searchsorted(words_, word).astype(np.int32)
     n_pairs, n_words = max(len(word), 1), len(words_)
     left = DISCOUNT * n_words / n_pairs if n_words else 1.0
     nothing = left / (n_words + 1)
     shared = np.maximum(np.bincount(word_at, minlength=n_words) - DISCOUNT, 0) / n_pairs + nothing
-    alone, unknown, context, after = [], [], [], []
-    for count in counts:
-        has = (count > 0).astype(np.float64)
+    alone, unknown, context, after = [], [], [], np.zeros(len(word))
+    for sign, count in zip((-1, 1), counts):
+        has = (count > 0).astype(np.float32)
         kinds = np.bincount(word_at, has, n_words)
-        distinct = has.sum()
+        distinct = np.count_nonzero(has)
         taken = discounts(kinds)[np.minimum(kinds, 3).astype(int)]
         freed = taken.sum() / distinct if distinct else 1.0
         of_word = (kinds - taken) / max(distinct, 1) + freed * shared
@@ -146,8 +147,9 @@ def kneser_ney(before: np.ndarray, word: np.ndarray, counts: tuple[np.ndarray, n
         alone.append(np.log(of_word))
         unknown.append(np.log(freed * nothing))
         context.append(np.log(rest))
-        after.append(np.log(np.maximum(count - DISCOUNT, 0) / np.maximum(seen, 1)[before_at]
-                            + rest[before_at] * of_word[word_at]))
+        p = np.maximum(count - DISCOUNT, 0) / np.maximum(seen, 1)[before_at]
+        p += rest[before_at] * of_word[word_at]
+        after += sign * np.log(p)
     every = np.union1d(befores_, words_)
     in_every = [np.zeros(len(every)), np.zeros(len(every))]
     in_every[0][:] = unknown[1] - unknown[0]
@@ -155,8 +157,7 @@ def kneser_ney(before: np.ndarray, word: np.ndarray, counts: tuple[np.ndarray, n
     in_every[1][np.searchsorted(every, befores_)] = context[1] - context[0]
     pairs = pair_keys(before, word)
     order = np.argsort(pairs)
-    return Model(every, *in_every, pairs[order], (after[1] - after[0]).astype(np.float32)[order],
-                 float(unknown[1] - unknown[0]))
+    return Model(every, *in_every, pairs[order], after.astype(np.float32)[order], float(unknown[1] - unknown[0]))
 
 
 def _model(counted: DataFrame, part: int) -> Model:
@@ -166,7 +167,12 @@ def _model(counted: DataFrame, part: int) -> Model:
             for name in ("ordinary", "toxic")]
     rows = counted.select("before", "word", *sums).where("ordinary + toxic > 0").toArrow()
     hashes = [rows[c].to_numpy().view(np.uint64) for c in ("before", "word")]
-    return kneser_ney(*hashes, tuple(rows[c].to_numpy().astype(np.float64) for c in ("ordinary", "toxic")))
+    counts = tuple(rows[c].to_numpy() for c in ("ordinary", "toxic"))
+    del rows
+    model = kneser_ney(*hashes, counts)
+    del hashes, counts
+    pa.default_memory_pool().release_unused()  # the driver goes on with the model alone
+    return model
 
 
 def _ratios(docs: DataFrame, model, *carry: str) -> DataFrame:
@@ -211,15 +217,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     sample = cut(docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("labelled"))
                  .select("text", "toxic", "part"), "toxic-sample")  # about 2 * per_class ids are broadcast
     counted = cut(_pair_counts(sample), "toxic-counts")
-    x, y, models = [], [], []
+    x, y = [], []
     for part in reversed(range(PARTS)):
-        models.append(context.broadcast(_model(counted, part)))
-        held = _ratios(sample.where(F.col("part") == part), models[-1], "toxic").toArrow()
+        shared = context.broadcast(_model(counted, part))
+        held = _ratios(sample.where(F.col("part") == part), shared, "toxic").toArrow()
         x.append(np.column_stack((held["mean"], held["best"])))
         y.append(held["toxic"].to_numpy())
         if part:
-            models[-1].destroy()
+            shared.destroy()
     x, y = np.concatenate(x), np.concatenate(y)
     w = calibrate(x, y, np.where(y == 1, 1 / share[1], 1 / share[0]))
     logit = F.col("mean") * float(w[0]) + F.col("best") * float(w[1]) + float(w[2])
-    return _ratios(docs, models[-1], "doc_id").select("doc_id", (1 / (1 + F.exp(-logit))).alias("score"))
+    return _ratios(docs, shared, "doc_id").select("doc_id", (1 / (1 + F.exp(-logit))).alias("score"))

@@ -86,7 +86,7 @@ def test_model_equals_plain_python(spark, plain):
     found = counted.toArrow()
     counts = [sum(found[f"{name}_{p}"].to_numpy() for p in range(toxicity.PARTS)) for name in ("ordinary", "toxic")]
     model = toxicity.kneser_ney(found["before"].to_numpy().view(np.uint64), found["word"].to_numpy().view(np.uint64),
-                                tuple(c.astype(float) for c in counts))
+                                tuple(counts))
     given = [text for text, _ in TEXTS] + NEW
     got = [model.ratios(w) for w in words(pa.array(given), toxicity._TABLE, limit=20)]
     mean, best = (np.concatenate([g[i] for g in got]) for i in (0, 1))
