@@ -20,7 +20,7 @@ from leakscope.functions.text import canon_key, has_phrases
 from leakscope.operators.hierarchy import climb, depths, paths
 from leakscope.operators.quantiles import join_null_safe, quantiles
 from leakscope.plans.core import claim_column, claims_for, is_readable
-from leakscope.sources.storage import cut
+from leakscope.sources.storage import cut, from_day
 
 DUPLICATE_KEY = ["payment_date", "_cost_type", "amount", "_check_number"]
 
@@ -76,7 +76,7 @@ def clue1_severity_qoq(
 ) -> DataFrame:
     """Where average severity rose most from one quarter to the next."""
     since = first_day_not_before(years_before(as_of, years))
-    recent = claims.where(F.col("loss_date") >= F.lit(since))
+    recent = from_day(claims, "loss_date", since)
     return quarterly_severity(recent, policies).orderBy(
         F.col("qoq_change").desc_nulls_last(), "lob", "loss_state", "qstart"
     )
@@ -94,7 +94,7 @@ def leakage_scores(
     since = first_day_not_before(as_of - timedelta(days=quiet_days))
     by = claim_column(payments)
     recent = (
-        payments.where(F.col("payment_date") >= F.lit(since))
+        from_day(payments, "payment_date", since)
         .groupBy(by)
         .agg(F.sum("amount").alias("_recent"))
     )

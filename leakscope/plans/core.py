@@ -237,7 +237,7 @@ def build_core(staged: Mapping[str, DataFrame], numbered: bool = True) -> dict[s
 
 
 def _placed(children: DataFrame, name: str) -> DataFrame:
-    """Rows with a number from the place where their task has them: unique, with gaps, and no shuffle.
+    """Rows with a number from the place where their task has them, until the writing task gives the final one.
 
     Spark doesn't move a filter below these numbers, so one on parsed values doesn't parse them a second time.
     """
@@ -269,7 +269,7 @@ def load_core(staged: Mapping[str, DataFrame], base: str) -> dict[str, DataFrame
         claims = version.write(
             "core_claims", core_claims(staged["staged_claims"], policies, adjusters, numbers["claim"]))
         payments = _placed(with_claim(conform_payments(staged["staged_payments"]), claims), "payment_id")
-        version.write("core_payments", payments.where(is_readable()).select(*_columns("core_payments")))
+        version.write("core_payments", payments.where(is_readable()).select(*_columns("core_payments")), "payment_id")
         notes = _placed(with_claim(conform_notes(staged["staged_notes"]), claims), "note_id")
-        version.write("core_notes", notes.select(*_columns("core_notes")))
+        version.write("core_notes", notes.select(*_columns("core_notes")), "note_id")
         return version.publish()

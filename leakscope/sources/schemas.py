@@ -60,6 +60,9 @@ CORE = {
     "core_notes": _typed(note_id="id", claim_id="id", note_time="time", author="text", note_text="text"),
 }
 
+# Stored tables that are laid out by the month of a date: the column of the month's first day, and the date.
+MONTHS = {"core_claims": ("loss_month", "loss_date"), "core_payments": ("payment_month", "payment_date")}
+
 # The dictionary of each kind of business key, stored beside the core tables.
 NUMBERS = _typed(key="text", number="id")
 

@@ -3,8 +3,9 @@
 Full refresh: a load writes all tables of a layer into a folder of its own and
 then publishes that folder by creating one file, which either is there or not.
 Readers take the last published folder, so they see a load as a whole or not at
-all, and what they have opened stays as it was. Tables are plain Parquet. They
-are not bucketed by claim: a bucketed join has no shuffle, so a claim that holds
+all, and what they have opened stays as it was. Tables are plain Parquet; claims
+and payments have a folder for each month of their date (``schemas.MONTHS``), a
+column more than the declared ones. They are not bucketed by claim: a bucketed join has no shuffle, so a claim that holds
 a third of the rows would be read by one task and adaptive execution could not
 split it.
 """
@@ -16,15 +17,16 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from contextvars import ContextVar
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leakscope.sources import schemas
 
 LAYERS = ("staged", "core", "mart")
 
-# Columns whose order inside each file lets filters skip row groups.
-_SORT_IN_FILES = {"core_payments": "payment_date", "core_claims": "loss_date"}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -73,12 +75,32 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _in_files(name: str, frame: DataFrame) -> DataFrame:
-    return frame.sortWithinPartitions(_SORT_IN_FILES[name]) if name in _SORT_IN_FILES else frame
+def _by_month(name: str, frame: DataFrame) -> DataFrame:
+    """Rows with their month, a month's rows together and in order of their date.
+
+    Adaptive execution deals a large month over several tasks and several small ones to one, so there are about as
+    many files as the sizes ask for.
+    """
+    month, date = schemas.MONTHS[name]
+    with_month = frame.withColumn(month, F.trunc(date, "MM"))
+    return with_month.hint("rebalance", F.col(month)).sortWithinPartitions(month, date)
+
+
+def from_day(frame: DataFrame, column: str, day: date) -> DataFrame:
+    """Rows whose date is not before ``day``; of a table laid out by its month, earlier months are not even listed."""
+    kept = frame.where(F.col(column) >= F.lit(day))
+    for month, of in schemas.MONTHS.values():
+        if of == column and month in frame.columns:
+            kept = kept.where(F.col(month) >= F.lit(day.replace(day=1)))
+    return kept
 
 
 def _schemas(layer: str) -> dict:
-    return {"staged": schemas.STAGED, "core": schemas.CORE, "mart": schemas.MART}[layer]
+    found = dict({"staged": schemas.STAGED, "core": schemas.CORE, "mart": schemas.MART}[layer])
+    for name, (month, _) in schemas.MONTHS.items():
+        if name in found:
+            found[name] = T.StructType([*found[name], T.StructField(month, T.DateType())])
+    return found
 
 
 def _path(spark: SparkSession, name: str):
@@ -103,10 +125,19 @@ class Version:
         self._before = published(spark, base, layer)
         self._folder = f"v-{uuid.uuid4().hex}"
 
-    def write(self, name: str, frame: DataFrame) -> DataFrame:
+    def write(self, name: str, frame: DataFrame, number: str | None = None) -> DataFrame:
+        """Write a table and go on from what is written.
+
+        ``number`` names a column that gets a number of the row's place: unique, with gaps. It is given by the task that
+        writes the row, after all shuffles, so a task that runs twice can't give a number to two rows.
+        """
         path = f"{self.base}/{self.layer}/{self._folder}/{name}"
-        _in_files(name, frame).write.parquet(path)
-        return self.spark.read.schema(frame.schema).parquet(path)
+        months = schemas.MONTHS.get(name, ())[:1]
+        laid_out = _by_month(name, frame) if months else frame
+        if number:
+            laid_out = laid_out.withColumn(number, F.monotonically_increasing_id() + 1)
+        laid_out.write.partitionBy(*months).parquet(path)
+        return self.spark.read.schema(laid_out.schema).parquet(path)
 
     def previous(self, name: str, schema) -> DataFrame | None:
         """A table of the version before, if there is one."""

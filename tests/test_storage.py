@@ -5,6 +5,8 @@ from __future__ import annotations
 import csv
 import glob
 import io
+import re
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,7 +33,11 @@ def _same(left, right):
 def test_load_keeps_declared_schemas_and_values(spark, small, stored):
     _, tables = stored
     for name, table in tables.items():
-        assert [f.name for f in table.schema] == schemas.CORE[name].fieldNames()
+        month, date = schemas.MONTHS.get(name, (None, None))
+        assert [f.name for f in table.schema] == schemas.CORE[name].fieldNames() + [month] * (month is not None)
+        if month:
+            assert table.where(~F.trunc(date, "MM").eqNullSafe(F.col(month))).count() == 0
+            table = table.drop(month)
         own = {"core_payments": "payment_id", "core_notes": "note_id"}.get(name)
         if own:  # numbers of places, not of an order
             assert table.select(own).distinct().count() == table.count()
@@ -140,6 +146,35 @@ def test_filters_and_columns_reach_the_stored_files(stored):
     assert "ReadSchema: struct<policy_id:bigint,lob:string>" in plan
 
 
+def test_filters_skip_whole_months(spark, stored):
+    """Only folders from the first wanted month on are read, and no other filter changes."""
+    base, t = stored
+    for name, day in (("core_payments", date(2001, 5, 4)), ("core_claims", date(1999, 8, 2))):
+        month, column = schemas.MONTHS[name]
+        found = storage.from_day(t[name], column, day)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert re.search(rf"PartitionFilters: \[[^]]*{month}#\d+ >= {day.replace(day=1)}", plan)
+        assert _same(found, t[name].where(F.col(column) >= F.lit(day)))
+        months = {str(r[0]) for r in t[name].select(month).distinct().collect()}
+        read = {re.search(rf"{month}=([^/]+)/", f)[1] for f in found.inputFiles()}
+        assert read and read <= {m if m != "None" else "__HIVE_DEFAULT_PARTITION__" for m in months}
+    for plan in (clues.leakage_scores(t["core_claims"], t["core_payments"], AS_OF),
+                 clues.clue1_severity_qoq(t["core_claims"], t["core_policies"], AS_OF)):
+        assert "_month" in "".join(re.findall(r"PartitionFilters: \[([^]]*)\]", str(
+            plan._jdf.queryExecution().executedPlan().toString())))
+
+
+def test_claims_without_a_date_are_stored(spark, tmp_path):
+    from tests import frames
+
+    claims = frames.claims(spark, {"claim_id": 1, "loss_date": None}, {"claim_id": 2, "loss_date": date(1500, 2, 3)})
+    version = storage.Version(spark, str(tmp_path), "core")
+    found = version.write("core_claims", claims)
+    assert {(r.claim_id, r.loss_date, r.loss_month) for r in found.collect()} == {
+        (1, None, None), (2, date(1500, 2, 3), date(1500, 2, 1))}
+    assert [r.claim_id for r in storage.from_day(found, "loss_date", date(1400, 1, 1)).collect()] == [2]
+
+
 def test_staged_layer_round_trip(spark, small, tmp_path):
     tables = staging.StagedTables(spark, small, AS_OF)
     storage.write_layer(spark, tables, str(tmp_path), "staged")
