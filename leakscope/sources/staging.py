@@ -30,15 +30,24 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 class _Draws:
-    """Independent draws of 0 to 255 for one row, as SQL, from the SQL of its number."""
+    """Independent draws of 0 to 255 for one row, as columns, from the SQL of its number."""
 
     def __init__(self, number: str):
-        self.number, self.made = number, 0
+        self.number, self.made = number, {}
 
     def __call__(self) -> str:
-        group, digit = divmod(self.made, 3)
-        self.made += 1
-        return f"((({self.number}) % {_PRIME}) * {_MULTIPLIERS[group]} % {_PRIME} div {256 ** digit} % 256)"
+        group, digit = divmod(len(self.made), 3)
+        name = f"_draw_{len(self.made)}"
+        self.made[name] = f"(({self.number}) % {_PRIME}) * {_MULTIPLIERS[group]} % {_PRIME} div {256 ** digit} % 256"
+        return name
+
+    def project(self, rows: DataFrame, parts: Mapping[str, str], columns: Mapping[str, str]) -> DataFrame:
+        """``columns`` of the rows, which name the draws made and the ``parts``.
+
+        Both are columns of a projection below, so each is worked out once a row and generated code has it once: the
+        JVM never compiles methods of over 8000 bytes.
+        """
+        return project(rows.selectExpr("*", *[f"{sql} AS {name}" for name, sql in {**self.made, **parts}.items()]), **columns)
 
 
 def _kinds(draw: str, *kinds: tuple[int, str], otherwise: str) -> str:
@@ -50,8 +59,8 @@ def _kinds(draw: str, *kinds: tuple[int, str], otherwise: str) -> str:
 def _key(prefix: str, number: str) -> str:
     """A business key in nine digits, six digits or a free form, always the same one for a number."""
     form = f"(({number}) * {_MULTIPLIERS[0]} % {_PRIME} div 1000 % 20)"
-    nine, six = (f"concat('{prefix}', {pad_number(number, width)})" for width in (9, 6))
-    return f"CASE WHEN {form} < 11 THEN {nine} WHEN {form} < 17 THEN {six} ELSE concat('{prefix}/', {number}, '-x') END"
+    padded = pad_number(number, f"if({form} < 11, 9, 6)")
+    return f"concat('{prefix}', if({form} < 17, {padded}, concat('/', {number}, '-x')))"
 
 
 def _labelled(prefix: str, number: str) -> str:
@@ -59,32 +68,36 @@ def _labelled(prefix: str, number: str) -> str:
 
 
 def _spelled(draw: str, day: str) -> str:
-    """A day as text, in one of eleven spellings."""
+    """A day as text, in one of eleven spellings.
+
+    A lambda is no part of the generated code of a whole stage, which with all spellings in it would be too long for
+    the JVM to compile.
+    """
     def shown(pattern: str) -> str:
-        return f"date_format({day}, '{pattern}')"
+        return f"date_format(_day, '{pattern}')"
 
-    iso = shown("yyyy-MM-dd")
-    return _kinds(
-        draw, (50, iso), (85, shown("MM/dd/yyyy")), (110, shown("M/d/yyyy")), (140, shown("dd-MMM-yyyy")),
-        (160, shown("yyyyMMdd")), (180, f"concat({iso}, ' 08:15')"), (196, f"concat({iso}, 'T23:05:09.1234567')"),
+    timed = f"concat({shown('yyyy-MM-dd')}, CASE WHEN {draw} < 50 THEN '' WHEN {draw} < 180 THEN ' 08:15' " \
+            "ELSE 'T23:05:09.1234567' END)"
+    others = _kinds(
+        draw, (85, shown("MM/dd/yyyy")), (110, shown("M/d/yyyy")), (140, shown("dd-MMM-yyyy")), (160, shown("yyyyMMdd")),
         (212, shown("yyyy/MM/dd")), (226, shown("MM-dd-yyyy")), (240, shown("MMM d, yyyy")), otherwise=shown("M/d/yy"))
+    spelled = f"CASE WHEN {draw} < 50 OR {draw} >= 160 AND {draw} < 196 THEN {timed} ELSE {others} END"
+    return f"element_at(transform(array({day}), _day -> {spelled}), 1)"
 
 
 def _money(draw: str, cents: str) -> str:
     """An amount as text: plain, with dollar sign and commas, between blanks, empty, or no amount at all."""
-    rest = f"concat('.', lpad({cents} % 100, 2, '0'))"
-    plain = f"concat({cents} div 100, {rest})"
-    return _kinds(
-        draw, (160, plain), (196, f"concat('$', format_number({cents} div 100, 0), {rest})"),
-        (212, f"concat(' ', {plain}, '  ')"), (226, "''"), (238, "'NULL'"), (248, "'tbd'"), otherwise="NULL")
+    whole = f"if({draw} >= 160 AND {draw} < 196, concat('$', format_number({cents} div 100, 0)), cast({cents} div 100 AS string))"
+    plain = f"concat({whole}, '.', lpad({cents} % 100, 2, '0'))"
+    spelled = f"concat(if({draw} < 196, '', ' '), {plain}, if({draw} < 196, '', '  '))"
+    return _kinds(draw, (212, spelled), (226, "''"), (238, "'NULL'"), (248, "'tbd'"), otherwise="NULL")
 
 
 def stage_policies(customer: DataFrame, as_of: datetime = FIXTURE_AS_OF) -> DataFrame:
     n = "(c_custkey + 11)"
     draw = _Draws(n)
-    key, start = _key("POL", n), f"date_sub(DATE '{as_of:%Y-%m-%d}', cast({n} * 37 % 1461 AS int))"
-    return project(
-        customer,
+    key, start = "_key", f"date_sub(DATE '{as_of:%Y-%m-%d}', cast({n} * 37 % 1461 AS int))"
+    columns = dict(
         policy_number=_kinds(draw(), (24, f"lower({key})"), (48, f"concat({key}, ' ')"), otherwise=key),
         insured_name=_kinds(draw(), (20, "''"), (60, "concat('  ', c_name, ' ')"), otherwise="c_name"),
         lob=_kinds(draw(), (70, "'WC'"), (90, "' wc'"), (110, "'w c'"), (180, "'GL'"), (200, "'gl  '"), (216, "''"),
@@ -96,6 +109,7 @@ def stage_policies(customer: DataFrame, as_of: datetime = FIXTURE_AS_OF) -> Data
                      (240, "'Ohio'"), otherwise="''"),
         broker_code=_kinds(draw(), (16, "'  '"), otherwise=_labelled("BR-", f"{n} % 71")),
     )
+    return draw.project(customer, {key: _key("POL", n)}, columns)
 
 
 def stage_claims(orders: DataFrame, n_adjusters: int | Column) -> DataFrame:
@@ -103,13 +117,12 @@ def stage_claims(orders: DataFrame, n_adjusters: int | Column) -> DataFrame:
 
     ``n_adjusters`` is a number or a one-value subquery such as ``supplier.agg(count).scalar()``.
     """
-    n, loss, cents = "(o_orderkey + 5)", "cast(o_orderdate AS date)", "cast(floor(o_totalprice * 100) AS bigint)"
+    n, loss, cents = "(o_orderkey + 5)", "_loss", "_cents"
     draw = _Draws(n)
     size = n_adjusters if isinstance(n_adjusters, Column) else F.lit(n_adjusters)
-    key, policy, adjuster = _key("CLM", n), _key("POL", "(o_custkey + 11)"), _key("ADJ", "_adjuster")
+    key, policy, adjuster = "_key", "_policy_key", "_adjuster_key"
     half = draw()
-    claims = project(
-        orders.withColumn("_adjuster", (F.col("o_orderkey") + 5) * 13 % size + 3),
+    columns = dict(
         claim_number=_kinds(draw(), (20, f"lower({key})"), (40, f"concat({key}, '   ')"), (60, f"concat(' ', {key})"),
                             otherwise=key),
         policy_number=_kinds(draw(), (6, _labelled("POL?", "o_custkey")), (30, f"lower({policy})"),
@@ -132,6 +145,10 @@ def stage_claims(orders: DataFrame, n_adjusters: int | Column) -> DataFrame:
                                otherwise=adjuster),
         _again=f"{draw()} < 7",
     )
+    claims = draw.project(
+        orders.withColumn("_adjuster", (F.col("o_orderkey") + 5) * 13 % size + 3),
+        {key: _key("CLM", n), policy: _key("POL", "(o_custkey + 11)"), adjuster: _key("ADJ", "_adjuster"),
+         loss: "cast(o_orderdate AS date)", cents: "cast(floor(o_totalprice * 100) AS bigint)"}, columns)
     twice = append_copies(claims, "_again", number="_copy")
     return twice.withColumn("claim_number", F.expr("if(_copy = 1, concat(lower(claim_number), ' '), claim_number)")).drop(
         "_again", "_copy")
@@ -141,11 +158,10 @@ def stage_adjuster(supplier: DataFrame, as_of: datetime = FIXTURE_AS_OF) -> Data
     """Adjusters in a tree of three reports each, some alone in a cycle, some in pairs, some under unknown ones."""
     n = "(s_suppkey + 3)"
     draw = _Draws(n)
-    key = _key("ADJ", n)
+    key = "_key"
     hired = f"date_sub(DATE '{as_of:%Y-%m-%d}', cast({n} * 53 % 4000 AS int))"
     above = _key("ADJ", "((s_suppkey - 1) div 3 + 3)")
-    return project(
-        supplier,
+    columns = dict(
         adjuster_ext_id=_kinds(draw(), (30, f"lower({key})"), (60, f"concat({key}, '  ')"), otherwise=key),
         full_name="s_name",
         hire_date=_kinds(draw(), (25, "''"), otherwise=_spelled(draw(), hired)),
@@ -157,20 +173,20 @@ def stage_adjuster(supplier: DataFrame, as_of: datetime = FIXTURE_AS_OF) -> Data
                           f"WHEN s_suppkey % 37 = 24 THEN {_key('ADJ', '(s_suppkey + 2)')} "
                           f"ELSE concat({above}, ' ') END",
     )
+    return draw.project(supplier, {key: _key("ADJ", n)}, columns)
 
 
 def stage_payments(lineitem: DataFrame) -> DataFrame:
     """Payments, about one in sixty of them twice."""
     draw = _Draws("l_orderkey * 8 + l_linenumber + l_partkey * 1009")
-    key, cents = _key("CLM", "(l_orderkey + 5)"), "cast(floor(l_extendedprice * l_discount * 100) AS bigint)"
+    key, shipped, cents = "_key", "_shipped", "_cents"
     cost, check = draw(), "concat('CK', l_partkey)"
-    payments = project(
-        lineitem,
+    columns = dict(
         payment_ext_id="concat('PAY', l_orderkey, '-', l_linenumber)",
         claim_number=_kinds(draw(), (16, f"lower({key})"), (36, f"concat({key}, '  ')"), (40, f"concat(' ', {key})"),
                             (43, _labelled("CLM#", "l_orderkey")), (45, "NULL"), otherwise=key),
         payment_date=_kinds(draw(), (6, "'pending'"), (9, "NULL"),
-                            otherwise=_spelled(draw(), "cast(l_shipdate AS date)")),
+                            otherwise=_spelled(draw(), shipped)),
         payee_type=_kinds(draw(), (100, "'provider'"), (160, "'Vendor '"), (200, "'Attorney'"), (230, "'claimant'"),
                           (240, "''"), otherwise="NULL"),
         vendor_id=_kinds(draw(), (30, _labelled("vn", "l_suppkey")), (36, "''"), otherwise=_labelled("VN", "l_suppkey")),
@@ -181,6 +197,9 @@ def stage_payments(lineitem: DataFrame) -> DataFrame:
         check_number=_kinds(draw(), (40, f"lower({check})"), (50, "''"), otherwise=check),
         _again=f"{draw()} < 4",
     )
+    payments = draw.project(lineitem, {
+        key: _key("CLM", "(l_orderkey + 5)"), shipped: "cast(l_shipdate AS date)",
+        cents: "cast(floor(l_extendedprice * l_discount * 100) AS bigint)"}, columns)
     return append_copies(payments, "_again").drop("_again")
 
 
@@ -188,10 +207,9 @@ def stage_notes(events: DataFrame, n_claims: int | Column) -> DataFrame:
     """Notes; the phrases that raise flags are those of the settings, the sentences around them are made up."""
     draw = _Draws("event_id")
     n = n_claims if isinstance(n_claims, Column) else F.lit(n_claims)
-    key, iso = _key("CLM", "_claim"), "date_format(ts, 'yyyy-MM-dd')"
+    key, iso = "_key", "date_format(ts, 'yyyy-MM-dd')"
     said = draw()
-    return project(
-        events.withColumn("_claim", F.col("event_id") * 7 % n + 5),
+    columns = dict(
         claim_number=_kinds(draw(), (12, f"lower({key})"), (20, f"concat({key}, ' ')"), (24, f"concat(' ', {key})"),
                             otherwise=key),
         note_time=_kinds(draw(), (100, f"concat({iso}, date_format(ts, ' HH:mm'))"), (200, iso),
@@ -206,6 +224,8 @@ def stage_notes(events: DataFrame, n_claims: int | Column) -> DataFrame:
                   f"WHEN 'purchase' THEN if({said} < 180, 'Clinic sent duplicate billing', 'DUPLICATE BILLING twice') "
                   f"WHEN 'click' THEN if({said} < 20, NULL, 'Hearing moved to spring') ELSE 'Spoke with claimant' END",
     )
+    numbered = events.withColumn("_claim", F.col("event_id") * 7 % n + 5)
+    return draw.project(numbered, {key: _key("CLM", "_claim")}, columns)
 
 
 class StagedTables(Mapping):
