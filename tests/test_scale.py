@@ -1,12 +1,14 @@
-"""Work that is done once: code short enough to be compiled, no filter that cleans a second time."""
+"""Work that is done once: code short enough to be compiled, no filter that cleans a second time, tables read once."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from leakscope.plans import core
+import __spark_entry__ as entry
+from leakscope.plans import core, quality
 from leakscope.sources import staging
 from leakscope.sources.schemas import TEST_TABLES
 
@@ -43,3 +45,24 @@ def test_payments_are_cleaned_once(spark, own):
     plain, joined = (str(df._jdf.queryExecution().optimizedPlan().toString()) for df in (cleaned, known))
     assert joined.count("gettimestamp") == plain.count("gettimestamp") > 0
     assert "Filter" in joined and "Filter" not in joined.split("RebalancePartitions")[1].split("Range")[0]
+
+
+def test_constraints_read_tables_once(spark, own):
+    checks = entry.queries()["qc_constraints"](spark, own)
+    raw = {file.split("/")[-2] for file in checks.inputFiles() if f"{own}/" in file}
+    assert raw == {"lineitem.parquet"}
+    found = {row.check: row.cnt for row in checks.collect()}
+    assert len(found) == 14
+    assert {name: cnt for name, cnt in found.items() if cnt} == {"unique_policy_number": 1, "unique_policy_id": 1} | {
+        name: cnt for name, cnt in found.items() if name in ("unique_claim_number", "unique_claim_id")}
+    plain = quality.qc_constraints(core.build_core(staging.StagedTables(spark, own), numbered=False))
+    assert found == {row.check: row.cnt for row in plain.collect()}
+
+
+def test_orphans_are_counted_by_row(spark, own):
+    """Three payments of one unknown claim are three violations, though they are matched as one value."""
+    built = core.build_core(staging.StagedTables(spark, own), numbered=False)
+    strays = built["core_payments"].limit(1).withColumn("claim_id", F.lit(99_999).cast("bigint"))
+    built["core_payments"] = built["core_payments"].unionByName(strays.unionByName(strays).unionByName(strays))
+    found = {row.check: row.cnt for row in quality.qc_constraints(built).collect()}
+    assert found["payment_claim_reference"] == 3
