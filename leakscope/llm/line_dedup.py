@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leakscope.llm.common import cut
+from leakscope.llm.common import cut, drop, split
 
 ROLL = 2
 DIVISOR = 3
@@ -114,7 +114,7 @@ def _chunk_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     rows, texts, size = ([], [], [], [], []), ([], []), 0
             yield _with_text(batch, rows, texts)
 
-    given, _ = _split(_with_lines(docs), F.col("content"), wanted)
+    given, _ = split(_with_lines(docs), F.col("content"), wanted, BITS)
     wanted = wanted.select(F.col("doc_id").alias("__id"), F.col("content").alias("__content"), "chunks")
     return (given.join(wanted, given["doc_id"].eqNullSafe(wanted["__id"]) & (given["content"] == wanted["__content"]))
             .select("doc_id", "content", "text", "chunks")
@@ -128,17 +128,6 @@ def _with_text(batch: pa.RecordBatch, rows: tuple[list, ...], texts: tuple[list,
                            names=[*made.schema.names, "is_first", "chunk"])
 
 
-def _split(df: DataFrame, content: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose content may be one of ``keys(content)``, and rows that surely have none; null is none."""
-    bits = (keys.select(F.expr(f"pmod(content, {BITS}) div 64").alias("__word"),
-                        F.expr("shiftleft(1L, int(pmod(content, 64)))").alias("__bit"))
-            .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))  # BITS / 64 rows at most
-    marked = df.withColumn("__at", content).join(
-        F.broadcast(bits), F.expr(f"pmod(__at, {BITS}) div 64") == F.col("__word"), "left")
-    may_be = F.expr("coalesce(getbit(__bits, int(pmod(__at, 64))) = 1, false)")
-    return tuple(marked.where(x).drop("__at", "__word", "__bits") for x in (may_be, ~may_be))
-
-
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges that meet or overlap as one."""
     kind = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
@@ -156,11 +145,12 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def removed_chunks(docs: DataFrame, with_passages: bool = False) -> DataFrame:
-    """(doc_id, content, ranges): the line ranges that go, of every document that loses any."""
+    """(doc_id, content, ranges): the line ranges that go, of every document that loses any, written."""
     place = F.struct("doc_id", "content", "from", "to")
     rows = cut(_chunk_rows(docs, with_passages), "line-places")
     several = rows.groupBy("high", "low").count().where("count > 1").drop("count")
     again = cut(rows.join(several, ["high", "low"]), "line-repeats")
+    drop(rows)
     repeated = (again.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                 .where("first <> last").select("high", "low", "first"))
     is_first = place.eqNullSafe(F.col("first"))
@@ -168,20 +158,25 @@ def removed_chunks(docs: DataFrame, with_passages: bool = False) -> DataFrame:
     wanted = cut(again.join(repeated, ["high", "low"]).withColumn("is_first", is_first).where(is_first | ~overlaps)
                  .groupBy("doc_id", "content")
                  .agg(F.collect_set(F.struct("from", "to", "high", "low", "is_first")).alias("chunks")), "line-wanted")
+    drop(again)
     texts = cut(_chunk_texts(docs, wanted), "line-chunks")
+    drop(wanted)
     firsts = (texts.where("is_first").groupBy("high", "low").agg(F.first("chunk").alias("first_chunk")))
     schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, content bigint, "
               "ranges array<struct<`from`:int,`to`:int>>")
-    return (texts.where("NOT is_first").join(firsts, ["high", "low"]).where("chunk = first_chunk")
-            .select("doc_id", "content", F.struct("from", "to").alias("range"))
-            .groupBy("doc_id", "content").agg(F.collect_set("range").alias("ranges")).mapInArrow(_merged, schema))
+    gone = cut(texts.where("NOT is_first").join(firsts, ["high", "low"]).where("chunk = first_chunk")
+               .select("doc_id", "content", F.struct("from", "to").alias("range"))
+               .groupBy("doc_id", "content").agg(F.collect_set("range").alias("ranges")).mapInArrow(_merged, schema),
+               "line-ranges")
+    drop(texts)
+    return gone
 
 
 def line_dedup(docs: DataFrame, with_passages: bool = False) -> DataFrame:
     """``docs`` with the repeated chunks, and passages if asked for, removed from ``text``; adds __n_lines and
     __n_removed (lines)."""
-    gone = cut(removed_chunks(docs, with_passages), "line-ranges")
-    may_lose, whole = _split(docs, F.xxhash64("text"), gone)
+    gone = removed_chunks(docs, with_passages)
+    may_lose, whole = split(docs, F.xxhash64("text"), gone, BITS)
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("content").alias("__content"),
                        F.col("ranges").alias("__ranges"))
     lines = F.split("text", "\n", -1)
