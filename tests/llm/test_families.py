@@ -33,6 +33,8 @@ def folders(spark) -> set[str]:
 
 
 def test_chance_shares_connect_nothing(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FEW", 0, raising=False)
+
     def phrase(i: int, j: int) -> str:
         return " ".join(f"w{min(i, j)}x{max(i, j)}y{n}" for n in range(5))
 
